@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plumbago.llm import chat, packing, sharding, tokenbin
+from plumbago.llm import chat, credentials, neardup, packing, repeats, sharding, tokenbin
 
 
 def vocabulary(name: str) -> str:
@@ -29,15 +29,27 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.format_conversations(turns.unionByName(more)))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).drop("keeper", "set_key")
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.find_secrets(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=1))
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.kept_digest(repeats.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_records(table(spark, sf_dir, "documents")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simple8b, op3_chat, op7_packing, op9_sharding)}
+QUERIES = {f.__name__: f for f in (op1_simple8b, op3_chat, op4_near_duplicates, op6_secrets, op7_packing, op8_repeats, op9_sharding)}
 
 ORACLE_SQL = {
     "op3_chat": r"""
