@@ -1,0 +1,29 @@
+import corpus_pipeline
+from plumbago.llm import queries
+
+DATA = "/root/testdata/sf0.001"
+
+
+def test_stages(spark):
+    docs = queries.table(spark, DATA, "documents")
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["toxicity", "near duplicates", "benchmark decontamination", "secrets", "packing"]
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        before, docs = docs, stage(spark, docs, DATA)
+        assert docs.schema.names == list(corpus_pipeline.COLUMNS) and [t for _, t in docs.dtypes] == [t for _, t in before.dtypes]
+    kept = docs.collect()
+    assert 0 < len(kept) < before.count() + 1
+    assert all("AKIA" not in (r.text or "") for r in kept)
+
+
+def test_run(spark):
+    rows = corpus_pipeline.run(spark, DATA).collect()
+    assert {"doc_id", "sequence_id", "offset", "length"} <= set(rows[0].asDict())
+
+
+def test_queries_are_registered():
+    import __spark_entry__
+
+    names = list(__spark_entry__.queries())
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+    assert set(__spark_entry__.oracle_sql()) <= set(names)
