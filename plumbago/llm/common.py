@@ -31,6 +31,7 @@ def written(df: DataFrame, name: str, partitions_by: str | None = None, **option
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     writer = df.write.options(**options)
     (writer.partitionBy(partitions_by) if partitions_by else writer).parquet(path)
+    spark.sparkContext._jvm.System.gc()  # lets Spark delete the shuffle files of what is now a table
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -211,12 +211,13 @@ def near_duplicates(docs: DataFrame, n: int = N, similarity: float = SIMILARITY,
     spark = docs.sparkSession
     signed = written(signatures(docs, n, bands, rows), "signatures")
     classes = written(signed.groupBy("set_key").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")), "classes")
-    places = classes.select("set_key", "class_id", "copies", "bands", F.posexplode("bands").alias("band", "hash"))
+    places = classes.select("set_key", F.posexplode("bands").alias("band", "hash"))
     buckets = classes.select(F.posexplode("bands").alias("band", "hash")).groupBy("band", "hash").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     blocks = F.ceil(F.col("size") / block).cast("int")
     own = F.pmod(F.xxhash64("set_key"), blocks).cast("int")
     members = (
-        places.join(buckets, ["band", "hash"]).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        # The classes' bands join after most places, which are alone in their bucket, have gone.
+        places.join(buckets, ["band", "hash"]).join(classes, "set_key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select(F.xxhash64("band", "hash", F.least("own", "other"), F.greatest("own", "other")).alias("gid"), "band", (F.col("own") > F.col("other")).cast("int").alias("side"), (F.col("own") == F.col("other")).cast("int").alias("diagonal"), "set_key", "class_id", "copies", "bands")
     )
     schema = "gid long, band int, side int, diagonal int, set_key binary, class_id long, copies long, bands array<long>"
