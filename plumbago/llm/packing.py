@@ -14,7 +14,7 @@ from plumbago.llm.common import slices
 from plumbago.llm.tokens import tokenizer
 
 #: Tokens that a task packs at once; bounds its memory.
-BATCH_TOKENS = 8 << 20
+BATCH_TOKENS = 4 << 20
 #: A window that lacks more than this share of its length is filled up with cut pieces of the emptiest windows.
 LOOSE = 1 / 64
 PIECES = "array<struct<doc_id:bigint,start:bigint,length:bigint,doc_tokens:bigint,offset:bigint>>"

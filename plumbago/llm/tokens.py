@@ -14,8 +14,8 @@ import pyarrow as pa
 
 from plumbago.llm.common import utf8
 
-#: Pieces that a worker remembers before it forgets all; bounds its memory to some 150 MB.
-REMEMBERED = 600_000
+#: Pieces that a worker remembers before it forgets all; bounds its memory to some 100 MB.
+REMEMBERED = 400_000
 
 #: One word of Latin letters in UTF-8, with the space or line feed before it.
 SINGLE = re.compile(rb"([ \n]?)((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)")
