@@ -24,9 +24,10 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of all texts, and the n + 1 offsets of the texts; a null is an empty text."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    words = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+    # Trimmed first: at white space that ends its buffer, the split would read on behind it.
+    words = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))))
     coded = words.flatten().dictionary_encode()
-    # A text that begins or ends in white space has an empty first or last word.
+    # A text without words has one empty word.
     hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) if w else 0 for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
     indices = np.asarray(coded.indices)
     offsets = np.asarray(words.offsets).astype(np.int64)
