@@ -212,7 +212,10 @@ def near_duplicates(docs: DataFrame, n: int = N, similarity: float = SIMILARITY,
     signed = written(signatures(docs, n, bands, rows), "signatures")
     classes = written(signed.groupBy("set_key").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")), "classes")
     places = classes.select("set_key", F.posexplode("bands").alias("band", "hash"))
-    buckets = classes.select(F.posexplode("bands").alias("band", "hash")).groupBy("band", "hash").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    id_hash = lambda seed: F.bit_xor(F.xxhash64("set_key", F.lit(seed)))
+    buckets = places.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("size"), id_hash(1).alias("a"), id_hash(2).alias("b")).where("size > 1")
+    # Of buckets with the same classes (128 bits of their ids' hashes tell), only the first band's has first meetings.
+    buckets = buckets.groupBy("size", "a", "b").agg(F.min(F.struct("band", "hash")).alias("first")).select("first.*", "size")
     blocks = F.ceil(F.col("size") / block).cast("int")
     own = F.pmod(F.xxhash64("set_key"), blocks).cast("int")
     members = (
