@@ -66,3 +66,10 @@ OBJECT_TYPES = (
     ("Excel", ("Excel",), (".xlsx", ".xls", ".xlsm")), ("PDF", ("Acro", "PDF"), (".pdf",)), ("Word", ("Word",), (".docx", ".doc")),
     ("MSG", ("Package",), (".msg",)), ("VSD", ("Visio",), (".vsd", ".vsdx")), ("PPTX", ("PowerPoint",), (".pptx", ".ppt")),
 )
+
+# A labelled paragraph of a target cell, heading styles, step columns and the words of sentinel rows.
+LABELLED = r"^\*{0,2}((?:\S+ ?){1,6}?)\*{0,2}\s*:\s+\S"
+HEADING_STYLES = ("heading", "title", "toc")
+STEP_COLUMNS = ("step", "activity", "description", "process")
+NUMBER_FORMATS = ("decimal", "ordinal")
+NO_SECTION, NO_TABLE, NO_LINK, BAD_TABLE, NO_RISK = "Section {} Not Found", "Table Not Found", "No Hyperlink found", "Table Structure Not Correct", "Process Risk Section Not Found"
