@@ -190,3 +190,11 @@ def test_scan_and_stream(spark, tmp_path):
 @pytest.mark.parametrize("text", ["http://a", "æøå"])
 def test_decoding(text):
     assert compound.decoded(text.encode("cp1252" if text.startswith("http") else "utf-16-le")) == text
+
+
+def test_step_matches(spark):
+    made = lambda *steps: document(para("Process Steps", "Heading1"), table(["No", "Step"], *(["1", s] for s in steps)))
+    found = D.steps(parsed(spark, a=made("Post the vendor invoice", "Water all green plants"), b=made("Post the supplier bill"), c=made("Post the vendor invoice")))
+    groups = spark.createDataFrame([("a", 1), ("b", 1), ("c", 2)], "path string, group int")
+    got = sorted((r.path, r.step, r["rank"], r.pct >= 99) for r in D.step_matches(found, groups).collect())
+    assert got == [("a", "Post the vendor invoice", 1, True), ("b", "Post the supplier bill", 1, True)]
