@@ -145,7 +145,10 @@ def _verified(n: int, similarity: float):  # noqa: ANN202
             gids, bands = np.asarray(batch.column("gid")), _matrix(batch)
             band, side, diagonal, copies = (np.asarray(batch.column(c)) for c in ("band", "side", "diagonal", "copies"))
             keys = batch.column("set_key").to_pylist()
-            grams, offsets = gram_sets(batch.column("text"), n)
+            # Sets of some texts at a time: hashing holds many times a text's size.
+            parts = [gram_sets(part.column("text"), n) for part in slices(iter([batch.select(["text"])]), "text")]
+            grams = np.concatenate([g for g, _ in parts])
+            offsets = np.append(0, np.cumsum(np.concatenate([np.diff(o) for _, o in parts])))
             begins = np.append(np.flatnonzero(np.concatenate([[True], gids[1:] != gids[:-1]])), len(gids))
             out: dict[str, list] = {"set_key": [], "root": [], "links": []}
             for a, b in zip(begins[:-1], begins[1:], strict=True):
