@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -70,3 +72,19 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
             last = max(first + 1, int(np.searchsorted(ends, ends[first] - sizes[first] + most, "right")))
             yield batch.slice(first, last - first)
             first = last
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """run, after whose last batch the worker gives freed memory back: workers stay for later tasks, and what they keep adds up with the JVM's."""
+
+    @functools.wraps(run)
+    def tidied(batches: Batches) -> Batches:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+    return tidied
