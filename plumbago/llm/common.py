@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one vectorised step in a Python worker handles at once.
 SLICE_BYTES = 4 << 20
+#: Bytes of an Arrow batch between the JVM and a worker; both sides hold a batch or more of each running task.
+BATCH_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -88,3 +90,9 @@ def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
             trim(0)
 
     return tidied
+
+
+def in_batches(df: DataFrame, run: Callable[[Batches], Batches], schema: str) -> DataFrame:
+    """df.mapInArrow of tidy(run), in batches of at most BATCH_BYTES or one row; sets the session's limit to that."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(tidy(run), schema)

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from plumbago.llm.common import slices
+from plumbago.llm.common import in_batches, slices
 
 # Fixed patterns.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -183,7 +183,7 @@ def find_secrets(docs: DataFrame, words_path: str | None = None, least: float =
     more = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_guess long"
     taken = docs.select("doc_id", "text", *(["lang", "source", "n_chars"] if texts else []))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in taken.schema if texts or f.name == "doc_id")
-    return taken.mapInArrow(scan, f"{kept}, {more}" + ", redacted string" * texts)
+    return taken.transform(in_batches, scan, f"{kept}, {more}" + ", redacted string" * texts)
 
 
 def redacted(text: str, spans: list[tuple[int, int, int]], mark: str = "<secret>") -> str:

@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from plumbago.llm.common import slices
+from plumbago.llm.common import in_batches, slices
 from plumbago.llm.shingles import gram_hashes, word_hashes
 
 N, STEP = 3, 2
@@ -69,7 +69,7 @@ def count_grams(docs: DataFrame, grams: np.ndarray) -> dict[int, int]:
         some = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(totals[some], pa.int64())], ["gram", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select("text").transform(in_batches, count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
     return {r["gram"]: r["n"] for r in rows}
 
 
@@ -112,7 +112,7 @@ def _matches(docs: DataFrame, item_ids: list[int], texts: list[str], n_docs: int
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hits, kind)], [*batch.schema.names, "hits"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", hits {HITS}"
-    return docs.mapInArrow(find, schema)
+    return docs.transform(in_batches, find, schema)
 
 
 def best_match(item: np.ndarray, text: np.ndarray, seeds: list[tuple[int, int]], weight: list[float]) -> tuple[float, int, int] | None:

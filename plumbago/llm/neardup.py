@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from plumbago.llm.common import partitions, slices, tidy, written
+from plumbago.llm.common import in_batches, partitions, slices, written
 from plumbago.llm.shingles import gram_hashes, mixed, word_hashes
 
 
@@ -63,7 +63,7 @@ def signatures(docs: DataFrame, n: int = N, bands: int = BANDS, rows: int = ROWS
             values = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * bands, pa.int32()), pa.array(found.reshape(-1)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(keys, pa.binary()), values], ["doc_id", "set_key", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(tidy(sign), "doc_id long, set_key binary, bands array<long>")
+    return docs.select("doc_id", "text").transform(in_batches, sign, "doc_id long, set_key binary, bands array<long>")
 
 
 def _groups(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
@@ -227,10 +227,10 @@ def near_duplicates(docs: DataFrame, n: int = N, similarity: float = SIMILARITY,
         .select(F.xxhash64("band", "hash", F.least("own", "other"), F.greatest("own", "other")).alias("gid"), "band", (F.col("own") > F.col("other")).cast("int").alias("side"), (F.col("own") == F.col("other")).cast("int").alias("diagonal"), "set_key", "class_id", "copies", "bands")
     )
     schema = "gid long, band int, side int, diagonal int, set_key binary, class_id long, copies long, bands array<long>"
-    needed = written(members.repartition(partitions(spark), "gid").sortWithinPartitions("gid").mapInArrow(tidy(_needed), schema), "meetings")
+    needed = written(members.repartition(partitions(spark), "gid").sortWithinPartitions("gid").transform(in_batches, _needed, schema), "meetings")
     texts = docs.select(F.col("doc_id").alias("class_id"), "text")
     joined = needed.alias("n").join(texts.alias("t"), F.col("n.class_id").eqNullSafe(F.col("t.class_id"))).select("n.*", "text")
-    links = written(joined.repartition(partitions(spark), "gid").sortWithinPartitions("gid").mapInArrow(tidy(_verified(n, similarity)), "set_key binary, root binary, links long"), "links")
+    links = written(joined.repartition(partitions(spark), "gid").sortWithinPartitions("gid").transform(in_batches, _verified(n, similarity), "set_key binary, root binary, links long"), "links")
     labels = components(links)
     counts = links.groupBy("set_key").agg(F.sum("links").alias("links"))
     described = classes.drop("bands").join(counts, "set_key", "left").join(labels, "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
@@ -257,6 +257,6 @@ def deduplicated(docs: DataFrame, **parameters) -> DataFrame:  # noqa: ANN003
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*batch.schema.names, "own_key"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", own_key binary"
-    one = several.mapInArrow(tidy(keyed), schema).dropDuplicates(["doc_id", "own_key"])
+    one = several.transform(in_batches, keyed, schema).dropDuplicates(["doc_id", "own_key"])
     one = one.join(keepers, F.col("doc_id").eqNullSafe(F.col("keeper_id")) & (F.col("own_key") == F.col("set_key")), "left_semi").drop("own_key")
     return single.unionByName(one)

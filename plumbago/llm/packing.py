@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from plumbago.llm.common import slices
+from plumbago.llm.common import in_batches, slices
 from plumbago.llm.tokens import tokenizer
 
 #: Tokens that a task packs at once; bounds its memory.
@@ -148,7 +148,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int, window: in
         if held:
             yield from packed()
 
-    return docs.select("doc_id", "text").mapInArrow(sequences, f"sequence_id long, n_tokens long, padded_tokens long, input_ids binary, pieces {PIECES}")
+    return docs.select("doc_id", "text").transform(in_batches, sequences, f"sequence_id long, n_tokens long, padded_tokens long, input_ids binary, pieces {PIECES}")
 
 
 def piece_digests(sequences: DataFrame) -> DataFrame:
@@ -163,4 +163,4 @@ def piece_digests(sequences: DataFrame) -> DataFrame:
                 out += [(p["doc_id"], p["start"], p["length"], zlib.crc32(raw[4 * p["offset"] : 4 * (p["offset"] + p["length"])]), p["doc_tokens"], row["sequence_id"], p["offset"], row["n_tokens"], row["padded_tokens"]) for p in row["pieces"]]
             yield pa.RecordBatch.from_pydict({n: pa.array(c, pa.int64()) for n, c in zip(names, zip(*out, strict=True) if out else [[]] * len(names), strict=True)})
 
-    return sequences.mapInArrow(digests, ", ".join(f"{n} long" for n in names))
+    return sequences.transform(in_batches, digests, ", ".join(f"{n} long" for n in names))

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from plumbago.llm.common import slices, tidy, written
+from plumbago.llm.common import in_batches, slices, written
 
 #: Labelled texts of each label that are learned from at most, chosen by a hash of their doc_id; their counts are weighed
 #: by how many they stand for. The index holds no more, so it is safe to broadcast.
@@ -180,7 +180,7 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
     once = written(sample.dropDuplicates(["text"]), "examples")
     sizes = {r["toxic"]: r["count"] for r in once.groupBy("toxic").count().collect()}
     n = [sizes.get(t, 0) for t in (0, 1)]
-    terms = once.select("text", "toxic").mapInArrow(tidy(tokens), "term string, toxic int, clean int").groupBy("term").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
+    terms = once.select("text", "toxic").transform(in_batches, tokens, "term string, toxic int, clean int").groupBy("term").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
     share = (F.col("t") + F.col("c")) / max(1, sum(n))
     difference = (F.col("t") / max(1, n[1]) - F.col("c") / max(1, n[0])) / F.sqrt(share * (1 - share) * (1 / max(1, n[0]) + 1 / max(1, n[1])) + 1e-12)
     scale = [counts.get(t, 0) / max(1, n[t]) for t in (0, 1)]
@@ -196,7 +196,7 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
             found = [model.vector(t, memo) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array([[p[0] for p in v] for v in found], pa.list_(pa.int32())), pa.array([[p[1] for p in v] for v in found], pa.list_(pa.float64()))], ["doc_id", "toxic", "terms", "weights"])
 
-    rows = sorted(once.select("doc_id", "text", "toxic").mapInArrow(tidy(vectors), "doc_id long, toxic int, terms array<int>, weights array<double>").collect(), key=lambda r: r["doc_id"])
+    rows = sorted(once.select("doc_id", "text", "toxic").transform(in_batches, vectors, "doc_id long, toxic int, terms array<int>, weights array<double>").collect(), key=lambda r: r["doc_id"])
     found = [tuple(zip(r["terms"], r["weights"], strict=True)) for r in rows]
     toxic = np.array([r["toxic"] for r in rows], float)
     weight = np.array([scale[r["toxic"]] for r in rows])
@@ -241,4 +241,4 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
             )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", score double, predicted int, evidence array<bigint>"
-    return docs.mapInArrow(tidy(score), schema)
+    return docs.transform(in_batches, score, schema)
