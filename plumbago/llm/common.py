@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one vectorised step in a Python worker handles at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: Bytes of an Arrow batch between the JVM and a worker; both sides hold a batch or more of each running task.
 BATCH_BYTES = 4 << 20
 

@@ -199,7 +199,7 @@ def _sides(buckets: int, length: int):  # noqa: ANN202
     """Cuts out what stands left and right of the trigger of every unsettled context, and deals it by trigger hash."""
 
     def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 4 << 20):
             dealt: dict[int, list[tuple]] = {}
             for key, text, parts in zip(batch.column("text_key").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), batch.column("parts").to_pylist(), strict=True):
                 for part in parts:
@@ -321,7 +321,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     runs = counted.where(F.col("kind") == RUNS).union(combined).groupBy("text_key").agg(F.collect_list("data").alias("parts"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 4 << 20):
             out: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept", "spans")}
             for text, parts in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("parts").to_pylist(), strict=True):
                 kept, spans = _removed(text, parts or [], length)

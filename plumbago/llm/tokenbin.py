@@ -149,7 +149,7 @@ def write_token_file(docs: DataFrame, tokenizer_path: str, end_id: int, segment_
             seq, base, held, n = seq + 1, base + len(ids), [], 0
             return out
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 4 << 20):
             ids, offsets = encoder.encode(batch.column("text"))
             counts = np.diff(offsets) + 1
             ids = np.insert(ids, offsets[1:], np.uint32(end_id))
