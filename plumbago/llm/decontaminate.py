@@ -1,14 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: rare words lead to candidates, Smith-Waterman alignment of words decides.
 
-The words of the test items' n-grams are counted over the whole corpus. Of every two neighbouring n-grams of an item, the
-rarer one is a seed. Where seeds of an item stand in a text, the text around them is aligned to the item; the best local
-alignment, as a share of a full copy's score, is the evidence. So edits anywhere in a copy leave seeds beside them.
+A local alignment that scores a share `least` of a full copy's score leaves at most so many words of the item unmatched; so of
+that many and T of an item's words, the rarest ones, T stand in the alignment's part of the text, whose length is bounded too.
+Where they do, the text around them is aligned to the item. Rarity, counted over the whole corpus, settles how many candidates
+are tried, and never which items are found: those are the ones whose best local alignment with the whole text scores enough.
 """
 
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,12 +17,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from plumbago.llm.common import in_batches, slices
-from plumbago.llm.shingles import gram_hashes, word_hashes
+from plumbago.llm.shingles import word_hashes
 
-N, STEP = 3, 2
+#: Items of fewer words are found in texts of just these words.
+N = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
-#: Seeds of one item near each other must be together as rare as one in exp(EVIDENCE) texts.
-EVIDENCE = 6.0
+#: A candidate holds one in PART of the item's words beyond those that may be missing.
+PART = 8
+#: Places of items' words that are sorted at once, or those of one text.
+PLACES = 1 << 20
 #: Items beyond this much text are handled a part at a time, each part broadcast to one pass over the texts.
 ITEM_BYTES = 4 << 20
 HITS = "array<struct<item_id:bigint,score:double,start_word:bigint,end_word:bigint>>"
@@ -33,8 +36,8 @@ def plain_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes(pc.replace_substring_regex(pc.fill_null(texts.cast(pa.large_string()), ""), r"[\pP\pS]+", " "))
 
 
-def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
-    """The best local alignment's score, and where it starts and ends in text (end exclusive)."""
+def align(item: np.ndarray, text: np.ndarray, least: float = 0) -> tuple[int, int, int]:
+    """The best local alignment's score, and where it starts and ends in text (end exclusive); (0, 0, 0) for a score below least."""
 
     def end_of(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
         along = np.arange(1, len(b) + 1) * -GAP
@@ -50,64 +53,140 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
         return best, end
 
     best, end = end_of(item, text)
+    if best < least:
+        return 0, 0, 0
     back = end_of(item[::-1], text[:end][::-1])[1] if best else 0
     return best, end - back, end
 
 
-def count_grams(docs: DataFrame, grams: np.ndarray) -> dict[int, int]:
-    """In how many rows of docs each of these (sorted) n-grams stands. Counted over all of docs, summed up before the shuffle."""
+def count_words(docs: DataFrame, known: np.ndarray) -> np.ndarray:
+    """How often each of these (sorted) words stands in docs. Counted over all of docs, summed up before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros(len(grams), np.int64)
+        totals = np.zeros(len(known), np.int64)
         for batch in slices(batches, "text"):
-            found, offsets = gram_hashes(*plain_words(batch.column("text")), N)
-            place = np.minimum(np.searchsorted(grams, found), len(grams) - 1)
-            mine = np.flatnonzero(grams[place] == found)
-            owner = np.searchsorted(offsets, mine, "right")
-            once = np.unique(owner * len(grams) + place[mine]) % len(grams)
-            totals += np.bincount(once, minlength=len(grams))
+            words, _ = plain_words(batch.column("text"))
+            place = np.minimum(np.searchsorted(known, words), len(known) - 1)
+            totals += np.bincount(place[known[place] == words], minlength=len(known))
         some = np.flatnonzero(totals)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(totals[some], pa.int64())], ["gram", "n"])
-
-    rows = docs.select("text").transform(in_batches, count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
-    return {r["gram"]: r["n"] for r in rows}
-
-
-def _matches(docs: DataFrame, item_ids: list[int], texts: list[str], n_docs: int, least: float) -> DataFrame:
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(totals[some], pa.int64())], ["word", "n"])
+
+    totals = np.zeros(len(known), np.int64)
+    for r in docs.select("text").transform(in_batches, count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect():
+        totals[r["word"]] = r["n"]
+    return totals
+
+
+class Search:
+    """The items, and the rare words that lead to them."""
+
+    def __init__(self, items: list[np.ndarray], known: np.ndarray, frequency: np.ndarray, least: float) -> None:
+        self.items = items
+        sizes = np.array([len(i) for i in items])
+        #: Words that match at least, and words between the first and the last match at most, in an alignment of a score of `least`.
+        self.need = np.maximum(1, np.ceil(least * sizes - 1e-9).astype(np.int64))
+        self.span = sizes + np.maximum(0, np.floor(MATCH * (sizes - least * sizes) + 1e-9).astype(np.int64))
+        self.need[sizes < N] = sizes[sizes < N]
+        self.lead = np.minimum(np.maximum(1, (sizes // PART).astype(np.int64)), self.need)
+        self.enough = MATCH * least * sizes - 1e-6
+        self.kinds = [np.unique(i, return_counts=True) for i in items]
+        owners: dict[int, set[int]] = {}
+        for k, item in enumerate(items):
+            if self.need[k] > sizes[k]:
+                continue  # no alignment scores that much
+            own = np.searchsorted(known, item)
+            for w in own[np.argsort(frequency[own], kind="stable")][: sizes[k] - self.need[k] + self.lead[k]].tolist():
+                owners.setdefault(w, set()).add(k)
+        chosen = sorted(owners)
+        self.words = known[np.array(chosen, np.int64)]
+        self.begins = np.cumsum([0, *(len(owners[w]) for w in chosen)])
+        self.owners = np.array([k for w in chosen for k in sorted(owners[w])], np.int64)
+
+    def candidates(self, words: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(text, item, places): the places in the text where `lead` of the item's rare words begin within its span."""
+        if not len(self.words) or not len(words):
+            return
+        place = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        at = np.flatnonzero(self.words[place] == words)
+        place = place[at]
+        many = self.begins[place + 1] - self.begins[place]
+        upto = np.concatenate([[0], np.cumsum(many)])
+        edges = np.searchsorted(at, offsets)  # the texts' edges among the places
+        first = 0
+        while first < len(offsets) - 1:
+            last = max(first + 1, int(np.searchsorted(upto[edges], upto[edges[first]] + PLACES, "right")) - 1)
+            part = slice(edges[first], edges[last])
+            own = np.repeat(self.begins[place[part]] - upto[part], many[part]) + np.arange(upto[part.start], upto[part.stop])
+            item, where = self.owners[own], np.repeat(at[part], many[part])
+            doc = np.searchsorted(offsets, where, "right") - 1
+            order = np.argsort(doc * len(self.items) + item, kind="stable")
+            item, where, doc = item[order], where[order], doc[order]
+            end = np.arange(len(item)) + self.lead[item] - 1
+            safe = np.minimum(end, len(item) - 1)
+            good = np.flatnonzero((end == safe) & (item[safe] == item) & (doc[safe] == doc) & (where[safe] - where < self.span[item]))
+            cuts = np.flatnonzero((np.diff(doc[good]) != 0) | (np.diff(item[good]) != 0)) + 1
+            for own in np.split(good, cuts) if len(good) else []:
+                yield int(doc[own[0]]), int(item[own[0]]), where[own] - offsets[doc[own[0]]]
+            first = last
+
+    def may_score(self, k: int, text: np.ndarray) -> bool:
+        """False only where no alignment with item k scores enough, by two bounds.
+
+        Every word of the text between the ends of an alignment is a match, or lowers its score; and in a part of the span's
+        length, a word matches at most as often as the item has it.
+        """
+        item, span = self.items[k], int(self.span[k])
+        kinds, times = self.kinds[k]
+        kind = np.minimum(np.searchsorted(kinds, text), len(kinds) - 1)
+        mine = kinds[kind] == text
+        sums = np.concatenate([[0], np.cumsum(np.where(mine, MATCH, GAP))])
+        if (sums - np.minimum.accumulate(sums)).max() < self.enough[k]:
+            return False
+        places = np.flatnonzero(mine)
+        kind = kind[places]
+        order = np.argsort(kind, kind="stable")
+        sorted_kind, sorted_place = kind[order], places[order]
+        before = np.arange(len(order)) - times[sorted_kind]
+        same = (before >= 0) & (sorted_kind[np.maximum(before, 0)] == sorted_kind)
+        # A place counts for the parts that begin behind the one as many times before as the item has its word, and hold the place.
+        begin = np.maximum(np.where(same, sorted_place[np.maximum(before, 0)], -1), np.maximum(sorted_place - span, -1)) + 1
+        counted = np.cumsum(np.bincount(begin, minlength=len(text) + 1) - np.bincount(sorted_place + 1, minlength=len(text) + 1))
+        return bool(counted.max() >= self.need[k])
+
+    def best(self, k: int, text: np.ndarray, places: np.ndarray) -> tuple[float, int, int]:
+        """Score, start and end of the best local alignment of item k, among those of the text around these places."""
+        item, span, need = self.items[k], int(self.span[k]), int(self.need[k])
+        if len(item) < N:
+            return (1.0, 0, len(text)) if np.array_equal(item, text) else (0.0, 0, 0)
+        best = (0.0, 0, 0)
+        for own in np.split(places, np.flatnonzero(np.diff(places) > 2 * span) + 1):
+            first, last = max(0, int(own[0]) - span), min(len(text), int(own[-1]) + span)
+            if not self.may_score(k, text[first:last]):
+                continue
+            score, start, end = align(item, text[first:last], self.enough[k])
+            if score > best[0] * MATCH * len(item):
+                best = (score / (MATCH * len(item)), first + start, first + end)
+        return best
+
+
+def _matches(docs: DataFrame, item_ids: list[int], texts: list[str], least: float) -> DataFrame:
     """docs with the column hits for these items."""
     words, offsets = plain_words(pa.array(texts, pa.string()))
-    grams, places = gram_hashes(words, offsets, N)
-    known = np.unique(grams)
-    counts = count_grams(docs, known)
-    frequency = np.array([counts.get(int(k), 0) for k in range(len(known))])
-    seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    for k in range(len(item_ids)):
-        own = np.searchsorted(known, grams[places[k] : places[k + 1]])
-        for first in range(0, len(own), STEP):
-            best = first + int(frequency[own[first : first + STEP]].argmin())
-            seeds[int(known[own[best]])].append((k, best))
-    names = np.array(sorted(seeds), np.uint64)
-    meaning = [seeds[int(s)] for s in names]
-    weight = [math.log((n_docs + 1) / (frequency[np.searchsorted(known, s)] + 1)) for s in names]
+    known = np.unique(words)
     items = [words[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-    shared = docs.sparkSession.sparkContext.broadcast((names, meaning, weight, items, item_ids))
+    full = [k for k, item in enumerate(items) if len(item)]
+    frequency = count_words(docs, known) if full else np.zeros(0, np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast((Search([items[k] for k in full], known, frequency, least), [item_ids[k] for k in full]))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, meaning, weight, items, item_ids = shared.value
+        search, item_ids = shared.value
         for batch in slices(batches, "text"):
             words, offsets = plain_words(batch.column("text"))
-            found, begins = gram_hashes(words, offsets, N)
-            place = np.minimum(np.searchsorted(names, found), len(names) - 1)
-            mine = np.flatnonzero(names[place] == found)
-            owner = np.searchsorted(begins, mine, "right") - 1
             hits: list[list[dict]] = [[] for _ in range(batch.num_rows)]
-            seen: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-            for doc, at, seed in zip(owner.tolist(), (mine - begins[owner]).tolist(), place[mine].tolist(), strict=True):
-                for item, offset in meaning[seed]:
-                    seen[doc, item].append((at - offset, seed))
-            for (doc, item), own in seen.items():
-                if (hit := best_match(items[item], words[offsets[doc] : offsets[doc + 1]], own, weight)) and hit[0] >= least:
-                    hits[doc].append({"item_id": item_ids[item], "score": hit[0], "start_word": hit[1], "end_word": hit[2]})
+            for doc, item, places in search.candidates(words, offsets):
+                score, start, end = search.best(item, words[offsets[doc] : offsets[doc + 1]], places)
+                if end and score >= least:
+                    hits[doc].append({"item_id": item_ids[item], "score": score, "start_word": start, "end_word": end})
             kind = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("start_word", pa.int64()), ("end_word", pa.int64())]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hits, kind)], [*batch.schema.names, "hits"])
 
@@ -115,30 +194,11 @@ def _matches(docs: DataFrame, item_ids: list[int], texts: list[str], n_docs: int
     return docs.transform(in_batches, find, schema)
 
 
-def best_match(item: np.ndarray, text: np.ndarray, seeds: list[tuple[int, int]], weight: list[float]) -> tuple[float, int, int] | None:
-    """The best alignment of item around seeds (where the item would begin, seed) whose evidence is enough."""
-    slack = len(item) // 4 + 4
-    seeds.sort()
-    best, group = None, []
-    for k, seed in enumerate(seeds):
-        group.append(seed)
-        if k + 1 < len(seeds) and seeds[k + 1][0] - seed[0] <= slack:
-            continue
-        if sum(weight[s] for s in {s for _, s in group}) >= EVIDENCE:
-            first, last = max(0, group[0][0] - slack), min(len(text), group[-1][0] + len(item) + slack)
-            score, start, end = align(item, text[first:last])
-            share = score / (MATCH * len(item))
-            if best is None or share > best[0]:
-                best = (share, first + start, first + end)
-        group = []
-    return best
-
-
 def contamination(docs: DataFrame, items: DataFrame, least: float = 0.5) -> DataFrame:
     """docs with all their columns and `hits`: item_id, score, start_word and end_word of the test items that a text holds.
 
-    items: (item_id, text). score is the best local word alignment's, 1 for a full copy; only hits of `least` and more are
-    reported. Words are those between white space, punctuation and signs, in lower case. A text or item that is null or has
+    items: (item_id, text). score is the best local word alignment's, 1 for a full copy; all hits of `least` and more are
+    reported, whatever the size of docs and however often an item stands in it. Words are those between white space, punctuation and signs, in lower case. A text or item that is null or has
     no words has no hits; an item of fewer than N words is found in texts of just these words; repeated items give a hit
     each; null and repeated doc_ids do no harm; a column of docs named hits is replaced. Empty tables give empty results. The items' text is measured
     first: beyond ITEM_BYTES it is broadcast part by part, with a pass over docs for each.
@@ -147,13 +207,12 @@ def contamination(docs: DataFrame, items: DataFrame, least: float = 0.5) -> Data
     sized = items.where(F.length("text") > 0).select("item_id", "text")
     total = sized.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = -(-total // ITEM_BYTES)
-    n_docs = docs.count()
     found = docs.withColumn("hits", F.array().cast(HITS))
     for part in range(parts):
         rows = sized.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()
         if not rows:
             continue
-        more = _matches(found.withColumnRenamed("hits", "_hits"), [r["item_id"] for r in rows], [r["text"] for r in rows], n_docs, least)
+        more = _matches(found.withColumnRenamed("hits", "_hits"), [r["item_id"] for r in rows], [r["text"] for r in rows], least)
         found = more.withColumn("hits", F.concat("_hits", "hits")).drop("_hits")
     return found
 

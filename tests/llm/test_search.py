@@ -188,6 +188,29 @@ def test_edited_copies_are_found(spark):
     assert decontaminate.decontaminated(frame.limit(0), spark.createDataFrame(items, "item_id long, text string")).count() == 0
 
 
+@settings(deadline=None, max_examples=100)
+@given(st.lists(st.lists(st.integers(0, 9), min_size=3, max_size=12), min_size=1, max_size=4), st.lists(st.lists(st.integers(0, 9), max_size=40), min_size=1, max_size=5), st.sampled_from([0.3, 0.5, 0.8, 1.0]))
+def test_no_item_is_missed(items, texts, least):
+    items = [np.array(i, np.uint64) for i in items]
+    words, offsets = np.array([w for t in texts for w in t], np.uint64), np.cumsum([0, *map(len, texts)])
+    known = np.arange(10, dtype=np.uint64)
+    search = decontaminate.Search(items, known, np.bincount(words.astype(int), minlength=10), least)
+    got = {(d, k): hit[0] for d, k, places in search.candidates(words, offsets) if (hit := search.best(k, words[offsets[d] : offsets[d + 1]], places))[0] >= least}
+    want = {(d, k): plain_align(i.tolist(), t) / (2 * len(i)) for d, t in enumerate(texts) for k, i in enumerate(items)}
+    assert got == {pair: score for pair, score in want.items() if score >= least}
+
+
+def test_items_in_many_rows_are_found(spark):
+    """However many rows hold an item, and in a table of one."""
+    item = " ".join(f"u{k}" for k in range(16))
+    edited = item.replace("u7", "other")
+    for copies, others in ((30, 60), (30, 0), (1, 0)):
+        docs = [(k, item) for k in range(copies)] + [(500, edited)] + [(1000 + k, f"plain text of row {k}") for k in range(others)] + [(8, "Lone word.")]
+        found = decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item), (92, "lone word")], "item_id long, text string"))
+        got = {(r.doc_id, h.item_id): h.score for r in found.collect() for h in r.hits}
+        assert got == {(k, 1): 1.0 for k in range(copies)} | {(500, 1): 29 / 32, (8, 92): 1.0}
+
+
 def toxic_corpus(seed):
     rng = random.Random(seed)
     plain, bad = [f"w{k}" for k in range(400)], [f"vile{k}" for k in range(12)]
