@@ -71,11 +71,12 @@ def _sequence_end(text: str, at: int) -> int:
 
 
 def guess_cost(value: str, words: dict[str, float], enough: float = math.inf) -> float:
-    """log10 of the guesses that the cheapest segmentation of value needs; any number of at least `enough` if it needs that many.
+    """log10 of the guesses that the cheapest of the tried segmentations of value needs; any number of at least `enough` if it needs that many.
 
     best[j] is the least cost of value[:j], by whether it ends in brute force. Segments: a word of the list (also with
     capitals or look-alike signs), a date or year, a repeated unit of up to 4 characters, a keyboard walk, a rising or falling
-    sequence, and single brute-force characters. It stops as soon as every prefix that is still open costs enough.
+    sequence, and single brute-force characters. Not all ends and starts of walks, sequences and repeats are tried: a walk starts
+    where the last one ended and ends after 3, 4 or all of its characters. So the cost may be too high, never too low. It stops as soon as every prefix that is still open costs enough.
     """
     n = len(value)
     lower = value.lower()
