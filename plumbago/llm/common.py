@@ -11,7 +11,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DataType, StructType
 
 #: Bytes of text that one vectorised step in a Python worker handles at once.
 SLICE_BYTES = 1 << 20
@@ -45,6 +46,24 @@ def clean_up(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A name that no column of df has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def quoted(name: str) -> Column:
+    """The column of this very name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def extended(df: DataFrame, more: str) -> StructType:
+    """df's schema and the columns of a DDL string."""
+    return StructType([*df.schema.fields, *DataType.fromDDL(more).fields])
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -92,7 +111,7 @@ def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
     return tidied
 
 
-def in_batches(df: DataFrame, run: Callable[[Batches], Batches], schema: str) -> DataFrame:
+def in_batches(df: DataFrame, run: Callable[[Batches], Batches], schema: str | StructType) -> DataFrame:
     """df.mapInArrow of tidy(run), in batches of at most BATCH_BYTES or one row; sets the session's limit to that."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(tidy(run), schema)
