@@ -38,16 +38,8 @@ HITS = "array<struct<item_id:bigint,score:double,start_word:bigint,end_word:bigi
 
 
 def plain_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes without punctuation and signs, and the texts' offsets: taken once from each distinct string between white space."""
-    whole = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.fill_null(texts.cast(pa.large_string()), "")))
-    coded = whole.flatten().dictionary_encode()
-    words, begins = word_hashes(pc.replace_substring_regex(coded.dictionary, r"[\pP\pS]+", " "))
-    place = np.asarray(coded.indices)
-    many = np.diff(begins)[place]
-    upto = np.concatenate([[0], np.cumsum(many)])
-    at = np.arange(upto[-1]) + np.repeat(begins[:-1][place] - upto[:-1], many)
-    offsets = np.asarray(whole.offsets).astype(np.int64)
-    return words[at], upto[offsets - offsets[0]]
+    """Word hashes without punctuation and signs, and the texts' offsets."""
+    return word_hashes(pc.replace_substring_regex(pc.fill_null(texts.cast(pa.large_string()), ""), r"[\pP\pS]+", " "))
 
 
 def align(item: np.ndarray, text: np.ndarray, least: float = 0) -> tuple[int, int, int]:

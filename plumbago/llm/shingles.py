@@ -8,7 +8,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 
 _MIX1, _MIX2, _BASE = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
 
@@ -20,22 +19,51 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+#: A random number for each byte, and the powers that tell a byte's place in its word.
+_BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * _BASE)
+_POWERS = np.concatenate([[np.uint64(1)], np.multiply.accumulate(np.full(255, _BASE))])
+#: Bytes of words that are hashed at once.
+HASHED = 1 << 20
+
+
+def string_hashes(strings: pa.Array) -> np.ndarray:
+    """64-bit hashes of large_strings without nulls: the sum, modulo 2**64, of each byte's number times its place's power."""
+    global _POWERS
+    if not len(strings):
+        return np.empty(0, np.uint64)
+    buffers = strings.buffers()
+    offsets = np.frombuffer(buffers[1], np.int64)[strings.offset : strings.offset + len(strings) + 1]
+    data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None and buffers[2].size else np.empty(0, np.uint8)
+    sizes = np.diff(offsets)
+    longest = int(sizes.max())
+    if longest > len(_POWERS):
+        _POWERS = np.concatenate([[np.uint64(1)], np.multiply.accumulate(np.full(longest - 1, _BASE))])
+    found = np.zeros(len(sizes), np.uint64)
+    full = np.flatnonzero(sizes)
+    first = 0
+    while first < len(full):
+        last = max(first + 1, int(np.searchsorted(offsets[full], offsets[full[first]] + HASHED)))
+        some = full[first:last]
+        begins = np.cumsum(sizes[some]) - sizes[some]
+        part = data[offsets[some[0]] : offsets[some[-1] + 1]]
+        value = _BYTE[part] * _POWERS[np.arange(len(part)) - np.repeat(begins, sizes[some])]
+        found[some] = mixed(np.add.reduceat(value, begins) + sizes[some].astype(np.uint64))
+        first = last
+    return found
+
+
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of all texts, and the n + 1 offsets of the texts; a null is an empty text."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     # Trimmed first: at white space that ends its buffer, the split would read on behind it.
     words = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))))
-    coded = words.flatten().dictionary_encode()
-    # A text without words has one empty word.
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) if w else 0 for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
-    indices = np.asarray(coded.indices)
+    flat = words.flatten()
+    found = string_hashes(flat)
     offsets = np.asarray(words.offsets).astype(np.int64)
     offsets -= offsets[0] if len(offsets) else 0
-    found = hashes[indices] if len(indices) else np.empty(0, np.uint64)
-    real = np.ones(len(found), bool)
-    if (empty := pc.index(coded.dictionary, pa.scalar("", coded.dictionary.type)).as_py()) >= 0:
-        real = indices != empty
+    real = np.asarray(pc.binary_length(flat)) > 0  # a text without words has one empty word
+    if not real.all():
         offsets = np.concatenate([[0], np.cumsum(real)])[offsets]
         found = found[real]
     return found, offsets
