@@ -1,10 +1,11 @@
 """Toxicity by the nearest labelled examples under the exact TF-IDF cosine, searched in a block-max inverted index.
 
-The vocabulary is learned from labelled texts: words and beginnings of words that stand in toxic examples far more often
-than in others. A text's tokens are those terms, and one background term for all its other words, so the cosine also
-compares how dense the terms are. Examples with equal vectors are one entry with their counts. Postings lie in blocks of
-entries with the greatest weight in each; a query opens blocks from the highest bound down until the bound is below the
-k-th cosine. Votes weighted by closeness give a raw score, and a monotone fit on votes of left-out examples calibrates it.
+A text's terms are all its words and the beginnings of the longer ones; the examples' terms are the vocabulary, without a limit.
+A term's inverse document frequency is counted over all documents, and multiplied by how surely its share among toxic
+examples differs from that among others; no term's factor is 0, so texts without any telling word have near examples too.
+Examples with equal texts are one entry with its label counts. Postings lie in blocks of entries with the greatest weight in
+each; a query opens blocks from the highest bound down until the bound is below the k-th cosine. Votes weighted by
+closeness give a raw score, and a monotone fit on votes of left-out examples calibrates it.
 """
 
 from __future__ import annotations
@@ -18,227 +19,281 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from plumbago.llm.common import in_batches, slices, written
+from plumbago.llm.common import extended, in_batches, slices, written
 
-#: Labelled texts of each label that are learned from at most, chosen by a hash of their doc_id; their counts are weighed
-#: by how many they stand for. The index holds no more, so it is safe to broadcast.
-EXAMPLES = 8000
-#: Terms at most, least difference in standard errors, least share of toxic texts among those with the term, least texts.
-TERMS, STANDARD_ERRORS, PURITY, SUPPORT = 2000, 6.0, 0.6, 8
+#: Labelled doc_ids of each label that are learned from at most, chosen by a hash of the doc_id, and half the number of different
+#: texts among theirs; their counts are weighed by how many they stand for. The index holds no more, so it is safe to broadcast.
+EXAMPLES = 1000
 PREFIXES = (6, 5, 4)
+#: The factor of a term that tells nothing; that of the most telling one is 1 more.
+FLOOR = 0.01
 K, BLOCK = 24, 64
+#: What the share of toxic examples counts for among the votes.
+PRIOR = 0.1
 THRESHOLD = 0.3
+#: Words that a worker remembers the terms of, before it forgets all.
+REMEMBERED = 200_000
 WORD = re.compile(r"[^\W_]+")
 
 
 def terms_of(word: str) -> list[str]:
-    """A word's terms, the most specific first: the word, and its beginnings where it is longer."""
+    """A word's terms: the word, and its beginnings where it is longer."""
     return [word, *(word[:n] + "*" for n in PREFIXES if len(word) > n)]
 
 
+def _ranges(begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The numbers from each begin to its end, one after another."""
+    many = ends - begins
+    upto = np.cumsum(many)
+    return np.arange(upto[-1] if len(upto) else 0) + np.repeat(begins - upto + many, many)
+
+
+@dataclass
+class Terms:
+    """The vocabulary: numbers by term; a word's numbers are remembered."""
+
+    numbers: dict[str, int]
+    memo: dict[str, tuple[int, ...]] = field(default_factory=dict)
+
+    def counted(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The sorted numbers of a text's terms that the vocabulary has, and how often each stands there."""
+        if len(self.memo) > REMEMBERED:
+            self.memo.clear()
+        numbers, times = [], []
+        for word, n in Counter(WORD.findall((text or "").lower())).items():
+            if (own := self.memo.get(word)) is None:
+                own = self.memo[word] = tuple(self.numbers[t] for t in terms_of(word) if t in self.numbers)
+            numbers += own
+            times += [n] * len(own)
+        found, place = np.unique(np.array(numbers, np.int64), return_inverse=True)
+        return found, np.bincount(place, times, len(found))
+
+
 @dataclass
 class Model:
-    """vocabulary: term to number, 0 is the background. Entries in index order, with postings by term."""
+    """Entries with their votes, and the postings of their terms in runs: what one term has in one block."""
 
-    vocabulary: dict[str, int]
-    idf: np.ndarray
+    terms: Terms
+    weight: np.ndarray  # of each term
     toxic: np.ndarray = field(default_factory=lambda: np.zeros(0))
     total: np.ndarray = field(default_factory=lambda: np.zeros(0))
     witness: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    entries: list = field(default_factory=list)
-    postings: list = field(default_factory=list)
-    maxima: list = field(default_factory=list)
-    steps: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.array([0.0, 1.0]), np.array([0.0, 1.0])))
     prior: float = 0.0
+    steps: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.array([0.0, 1.0]), np.array([0.0, 1.0])))
+    runs: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # where each term's runs begin
+    run_block: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    run_most: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    run_begin: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # where each run's postings begin
+    place: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    value: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
-    def vector(self, text: str | None, memo: dict[str, int]) -> tuple[tuple[int, float], ...]:
-        """Unit TF-IDF vector with 1 + log counts, by term number; a text without words has none."""
-        counts: Counter[int] = Counter()
-        for word, n in Counter(WORD.findall((text or "").lower())).items():
-            if (number := memo.get(word)) is None:
-                number = memo[word] = next((self.vocabulary[t] for t in terms_of(word) if t in self.vocabulary), 0)
-            counts[number] += n
-        if not counts:
-            return ()
-        numbers = sorted(counts)
-        weights = np.array([(1 + np.log(counts[k])) * self.idf[k] for k in numbers])
-        weights /= np.sqrt((weights**2).sum())
-        return tuple(zip(numbers, np.round(weights, 6).tolist(), strict=True))
-
-    def index(self, vectors: list[tuple], toxic: np.ndarray, weight: np.ndarray, ids: list[int]) -> None:
-        """Entries with like terms lie side by side, so that blocks have low maxima for most terms."""
-        found: dict[tuple, list[int]] = {}
-        for k, v in enumerate(vectors):
-            found.setdefault(v, []).append(k)
-        strongest = lambda v: sorted(v, key=lambda p: -p[1] if p[0] else 0)[:2]
-        self.entries = sorted((v for v in found if v), key=lambda v: (strongest(v), v))
-        rows = [found[v] for v in self.entries]
-        self.toxic = np.array([sum(weight[k] * toxic[k] for k in own) for own in rows])
-        self.total = np.array([sum(weight[k] for k in own) for own in rows])
-        self.witness = np.array([min(ids[k] for k in own) for own in rows], np.int64)
-        self.prior = float((weight * toxic).sum() / max(1e-9, weight.sum()))
-        blocks = -(-len(rows) // BLOCK)
-        by_term: dict[int, list[tuple[int, float]]] = {}
-        for k, v in enumerate(self.entries):
-            for number, w in v:
-                by_term.setdefault(number, []).append((k, w))
-        self.postings = [None] * len(self.idf)
-        self.maxima = [None] * len(self.idf)
-        for number, own in by_term.items():
-            places, weights = np.array([p[0] for p in own]), np.array([p[1] for p in own])
-            cuts = np.searchsorted(places, np.arange(blocks + 1) * BLOCK)
-            most = np.zeros(blocks)
-            np.maximum.at(most, places // BLOCK, weights)
-            self.postings[number], self.maxima[number] = (places, weights, cuts), most
-
-    def nearest(self, vector: tuple, k: int = K, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Unit vector of (1 + log count) times term weight, by term number; a text without known terms has none."""
+        numbers, times = self.terms.counted(text)
+        return numbers, self.unit(numbers, times)
+
+    def unit(self, numbers: np.ndarray, times: np.ndarray) -> np.ndarray:
+        values = (1 + np.log(times)) * self.weight[numbers]
+        return values / max(1e-12, float(np.sqrt((values**2).sum())))
+
+    def index(self, owner: np.ndarray, number: np.ndarray, value: np.ndarray, entries: int) -> None:
+        """Postings from the entries' vectors, given as rows (entry, term number, value); entries' places are their order."""
+        order = np.lexsort((owner, number))
+        owner, number, self.value = owner[order], number[order], value[order]
+        self.place = owner.astype(np.int32)
+        block = owner // BLOCK
+        new = np.ones(len(owner), bool)
+        new[1:] = (number[1:] != number[:-1]) | (block[1:] != block[:-1])
+        begins = np.flatnonzero(new)
+        self.run_begin = np.append(begins, len(owner))
+        self.run_block = block[begins].astype(np.int32)
+        self.run_most = np.maximum.reduceat(self.value, begins) if len(begins) else np.zeros(0)
+        self.runs = np.searchsorted(number[begins], np.arange(len(self.weight) + 1))
+        self.blocks, self.entries = -(-entries // BLOCK), entries
+
+    def nearest(self, numbers: np.ndarray, weights: np.ndarray, k: int = K, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k entries of the highest cosines above 0 and those cosines; ties to the first. leave: an entry to pass over."""
-        terms = [(number, w) for number, w in vector if self.postings[number] is not None]
-        if not terms:
-            return np.empty(0, np.int64), np.empty(0)
-        bounds = sum(w * self.maxima[number] for number, w in terms)
-        order = np.argsort(-bounds, kind="stable")
         scores, places = np.empty(0), np.empty(0, np.int64)
+        if not len(numbers):
+            return places, scores
+        first, last = self.runs[numbers], self.runs[numbers + 1]
+        run, weight = _ranges(first, last), np.repeat(weights, last - first)
+        block = self.run_block[run]
+        bounds = np.bincount(block, weight * self.run_most[run], self.blocks)
+        order = np.argsort(-bounds, kind="stable")
         at, step = 0, 4
         while at < len(order):
-            kth = scores[-1] if len(scores) == k else 0.0
             opened = order[at : at + step]
-            opened = opened[bounds[opened] >= kth - 1e-9]
-            opened = opened[bounds[opened] > 0]
+            opened = opened[(bounds[opened] >= (scores[-1] if len(scores) == k else 0.0) - 1e-9) & (bounds[opened] > 0)]
             if not len(opened):
                 break
-            own = np.zeros((len(opened), BLOCK))
-            for number, w in terms:
-                at_, weights, cuts = self.postings[number]
-                for row, block in enumerate(opened):
-                    part = slice(cuts[block], cuts[block + 1])
-                    own[row, at_[part] - block * BLOCK] += w * weights[part]
-            new = (opened[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1)
-            own = own.reshape(-1)
-            real = (own > 0) & (new != leave)
-            scores, places = np.concatenate([scores, own[real]]), np.concatenate([places, new[real]])
+            mine = np.zeros(self.blocks, bool)
+            mine[opened] = True
+            own = mine[block]
+            begins, ends = self.run_begin[run[own]], self.run_begin[run[own] + 1]
+            posting = _ranges(begins, ends)
+            found = np.bincount(self.place[posting], np.repeat(weight[own], ends - begins) * self.value[posting], self.entries)
+            if leave >= 0:
+                found[leave] = 0
+            new = np.flatnonzero(found > 0)
+            scores, places = np.concatenate([scores, found[new]]), np.concatenate([places, new])
             best = np.lexsort((places, -np.round(scores, 9)))[:k]
             scores, places = scores[best], places[best]
             at, step = at + step, step * 2
         return places, scores
 
-    def votes(self, places: np.ndarray, cosines: np.ndarray, leave_one: tuple[int, float, float] | None = None) -> float:
-        """Toxic share of the votes, each weighted by closeness to the fourth power over distance; one vote's worth stands for the prior.
-
-        leave_one: (entry, toxic, total) that a left-out example takes from its own entry.
-        """
-        toxic, total = self.toxic[places].copy(), self.total[places].copy()
-        if leave_one is not None:
-            own = places == leave_one[0]
-            toxic[own] -= leave_one[1]
-            total[own] -= leave_one[2]
+    def votes(self, places: np.ndarray, cosines: np.ndarray) -> float:
+        """Toxic share of the entries, each weighted by its cosine to the fourth power over distance, and of the prior."""
         closeness = cosines**4 / (0.05 + np.maximum(0, 1 - cosines))
-        # An entry of many equal examples counts as one near neighbour with their mean, so copies do not outvote others.
-        share = np.where(total > 1e-9, toxic / np.maximum(total, 1e-9), 0)
-        w = closeness * (total > 1e-9)
-        return float((w @ share + self.prior) / (w.sum() + 1))
-
-    def calibrate(self, raw: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> None:
-        """Pool adjacent violators: the monotone fit of toxic shares to raw votes."""
-        order = np.argsort(raw, kind="stable")
+        share = self.toxic[places] / np.maximum(self.total[places], 1e-12)
+        return float((closeness @ share + PRIOR * self.prior) / (closeness.sum() + PRIOR))
+
+    def calibrate(self, raw: np.ndarray, toxic: np.ndarray, total: np.ndarray) -> None:
+        """Pool adjacent violators: the monotone fit of toxic shares to raw votes, straight between the pools' means."""
         pools: list[list[float]] = []
-        for k in order:
-            pools.append([raw[k], raw[k], weight[k] * toxic[k], weight[k]])
-            while len(pools) > 1 and pools[-2][2] * pools[-1][3] >= pools[-1][2] * pools[-2][3]:
+        for k in np.argsort(raw, kind="stable"):
+            pools.append([raw[k] * total[k], toxic[k], total[k]])
+            while len(pools) > 1 and (pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2] or pools[-2][0] * pools[-1][2] >= pools[-1][0] * pools[-2][2]):
                 last = pools.pop()
-                pools[-1] = [pools[-1][0], last[1], pools[-1][2] + last[2], pools[-1][3] + last[3]]
-        xs, ys = [0.0], [pools[0][2] / pools[0][3]] if pools else [0.0]
-        for low, high, t, w in pools:
-            xs += [low, high]
-            ys += [t / w] * 2
-        self.steps = np.array([*xs, 1.0]), np.array([*ys, ys[-1]])
+                pools[-1] = [a + b for a, b in zip(pools[-1], last, strict=True)]
+        self.steps = np.array([x / w for x, _, w in pools]), np.array([t / w for _, t, w in pools])
 
-    def score(self, vector: tuple) -> tuple[float, list[int]]:
-        places, cosines = self.nearest(vector)
-        raw = self.votes(places, cosines) if len(places) else self.prior
-        calibrated = float(np.interp(raw, *self.steps))
-        return min(1.0, max(0.0, 0.9 * calibrated + 0.1 * raw)), self.witness[places[:3]].tolist()
+    def score(self, text: str | None) -> tuple[float, list[int]]:
+        numbers, weights = self.vector(text)
+        places, cosines = self.nearest(numbers, weights)
+        raw = self.votes(places, cosines)
+        return min(1.0, max(0.0, float(np.interp(raw, *self.steps)))), self.witness[places[:3]].tolist()
 
 
-def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
-    """A model of docs (doc_id, text) and labels (doc_id, toxic 0 or 1). Null labels and labels of unknown doc_ids are not used; of several, the highest holds.
+def _document_counts(docs: DataFrame, terms: Terms) -> tuple[np.ndarray, int]:
+    """In how many of docs each term stands, and the number of docs; summed up in tasks before the shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
 
-    Learns from at most `examples` texts of each label. Without labels of both kinds, every score is the share of toxic ones.
-    """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, rows = shared.value, 0
+        totals = np.zeros(len(terms.numbers) + 1, np.int64)
+        for batch in slices(batches, "text"):
+            own = [terms.counted(t)[0] for t in batch.column("text").to_pylist()]
+            totals += np.bincount(np.concatenate(own), minlength=len(totals))
+            rows += batch.num_rows
+        totals[-1] = rows  # the last number is no term's
+        some = np.flatnonzero(totals)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(totals[some], pa.int64())], ["term", "n"])
+
+    totals = np.zeros(len(terms.numbers) + 1, np.int64)
+    found = docs.select("text").transform(in_batches, count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    totals[np.asarray(found.column("term"))] = np.asarray(found.column("n"))
+    return totals[:-1], int(totals[-1])
+
+
+def _labelled(docs: DataFrame, labels: DataFrame, examples: int) -> tuple[DataFrame, list[int]]:
+    """Rows (text, toxic, n, witness, key), one for each different text, and how many doc_ids have each label."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     chosen = [known.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples) for t in (0, 1)]
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")  # at most 2 * examples rows of two numbers
+    sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")  # at most 2 * examples rows of two numbers
+    once = sample.groupBy("text").agg(F.sum("toxic").cast("long").alias("toxic"), F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("witness")).withColumn("key", F.sha2("text", 256))
+    # A repeated doc_id may bring any number of texts; of these too, a hash chooses.
+    return written(once.orderBy(F.xxhash64("text"), "key").limit(2 * examples), "examples"), [counts.get(t, 0) for t in (0, 1)]
 
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                terms = sorted({t for w in set(WORD.findall((text or "").lower())) for t in terms_of(w)})
-                yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([toxic] * len(terms), pa.int32()), pa.array([1 - toxic] * len(terms), pa.int32())], ["term", "toxic", "clean"])
-
-    # Repeated texts count once: a copied text's own words are no signs of a label.
-    once = written(sample.dropDuplicates(["text"]), "examples")
-    sizes = {r["toxic"]: r["count"] for r in once.groupBy("toxic").count().collect()}
-    n = [sizes.get(t, 0) for t in (0, 1)]
-    terms = once.select("text", "toxic").transform(in_batches, tokens, "term string, toxic int, clean int").groupBy("term").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
-    share = (F.col("t") + F.col("c")) / max(1, sum(n))
-    difference = (F.col("t") / max(1, n[1]) - F.col("c") / max(1, n[0])) / F.sqrt(share * (1 - share) * (1 / max(1, n[0]) + 1 / max(1, n[1])) + 1e-12)
-    scale = [counts.get(t, 0) / max(1, n[t]) for t in (0, 1)]
-    purity = F.col("t") * scale[1] / (F.col("t") * scale[1] + F.col("c") * scale[0])
-    kept = terms.where((F.col("t") + F.col("c") >= SUPPORT) & (difference > STANDARD_ERRORS) & (purity >= PURITY)).withColumn("difference", difference).orderBy(F.col("difference").desc(), "term").limit(TERMS).collect()
-    names = sorted(r["term"] for r in kept)
-    weighed = {r["term"]: (r["t"] * scale[1] + r["c"] * scale[0]) / max(1e-9, n[0] * scale[0] + n[1] * scale[1]) for r in kept}
-    model = Model({t: k + 1 for k, t in enumerate(names)}, np.array([1.0, *(1 - np.log(max(weighed[t], 1e-6)) for t in names)]))
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[str, int] = {}
+
+def _terms_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "text"):
+        own = [Counter(t for w, n in Counter(WORD.findall(text.lower())).items() for t in terms_of(w) for _ in range(n)) for text in batch.column("text").to_pylist()]
+        arrays = [batch.column(c) for c in ("key", "toxic", "n", "witness")]
+        yield pa.RecordBatch.from_arrays([*arrays, pa.array([list(c) for c in own], pa.list_(pa.string())), pa.array([list(c.values()) for c in own], pa.list_(pa.int64()))], ["key", "toxic", "n", "witness", "terms", "times"])
+
+
+def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
+    """A model of docs (doc_id, text) and labels (doc_id, toxic 0 or 1), the same for any order of their rows.
+
+    Null labels, null doc_ids and labels of unknown doc_ids are not used; of several labels of a doc_id, the highest holds.
+    A null text is an empty one. Equal texts are one example with all their labels. Learns from at most `examples` doc_ids of each label and
+    twice as many texts; document frequencies are those over all of docs. Without labels, every score is 0; with one kind only, it is that one.
+    """
+    once, counts = _labelled(docs, labels, examples)
+    found = once.transform(in_batches, _terms_in, "key string, toxic long, n long, witness long, terms array<string>, times array<long>").toArrow().combine_chunks()
+    if not found.num_rows:
+        return Model(Terms({}), np.zeros(0))
+    found = found.sort_by([("witness", "ascending"), ("key", "ascending")])
+    toxic, n = (np.asarray(found.column(c)).astype(float) for c in ("toxic", "n"))
+    terms, times = (found.column(c).combine_chunks() for c in ("terms", "times"))
+    size = np.diff(np.asarray(terms.offsets))
+    coded = terms.flatten().dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    sorted_number = np.empty(len(names), np.int64)  # numbers in the order of the terms, so sums are alike for any order of rows
+    sorted_number[sorted(range(len(names)), key=names.__getitem__)] = np.arange(len(names))
+    number, times = sorted_number[np.asarray(coded.indices)], np.asarray(times.flatten())
+    owner = np.repeat(np.arange(len(size)), size)
+    vocabulary = Terms({t: int(k) for t, k in zip(names, sorted_number.tolist(), strict=True)})
+    frequency, rows = _document_counts(docs, vocabulary)
+
+    # How surely a term's share among toxic examples is higher than among others, in standard errors, with half an example more of each.
+    share = toxic / n
+    texts = max(1e-9, share.sum()), max(1e-9, (1 - share).sum())
+    with_term = np.bincount(number, share[owner], len(names)), np.bincount(number, (1 - share)[owner], len(names))
+    overall = (with_term[0] + with_term[1] + 1) / (sum(texts) + 2)
+    sure = np.maximum(0, (with_term[0] / texts[0] - with_term[1] / texts[1]) / np.sqrt(overall * (1 - overall) * (1 / texts[0] + 1 / texts[1])))
+    telling = (sure / max(1e-9, sure.max(initial=0))) ** 2 if min(texts) > 0.5 else np.zeros(len(names))
+    model = Model(vocabulary, (1 + np.log((rows + 1) / (frequency + 1))) * (telling + FLOOR))
+
+    # Entries with like strongest terms lie side by side, so that blocks have low maxima for most terms.
+    order = np.lexsort((number, owner))
+    owner, number, times = owner[order], number[order], times[order]
+    cuts = np.concatenate([[0], np.cumsum(size)])
+    value = np.concatenate([model.unit(number[a:b], times[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
+    strongest = [tuple(number[a:b][np.argsort(-value[a:b], kind="stable")[:2]].tolist()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    entry = np.array(sorted(range(len(size)), key=lambda k: (strongest[k], k)), np.int64)
+    at = np.empty(len(size), np.int64)
+    at[entry] = np.arange(len(size))
+    stands_for = [c / max(1, min(c, examples)) for c in counts]
+    model.toxic = (toxic * stands_for[1])[entry]
+    model.total = model.toxic + ((n - toxic) * stands_for[0])[entry]
+    model.witness = np.asarray(found.column("witness"))[entry]
+    model.prior = float(model.toxic.sum() / model.total.sum())
+    model.index(at[owner], number, value, len(size))
+
+    keys = found.column("key").to_pylist()
+    shared = docs.sparkSession.sparkContext.broadcast((model, {keys[k]: place for place, k in enumerate(entry.tolist())}))
+
+    def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, places = shared.value
         for batch in slices(batches, "text"):
-            found = [model.vector(t, memo) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array([[p[0] for p in v] for v in found], pa.list_(pa.int32())), pa.array([[p[1] for p in v] for v in found], pa.list_(pa.float64()))], ["doc_id", "toxic", "terms", "weights"])
-
-    rows = sorted(once.select("doc_id", "text", "toxic").transform(in_batches, vectors, "doc_id long, toxic int, terms array<int>, weights array<double>").collect(), key=lambda r: r["doc_id"])
-    found = [tuple(zip(r["terms"], r["weights"], strict=True)) for r in rows]
-    toxic = np.array([r["toxic"] for r in rows], float)
-    weight = np.array([scale[r["toxic"]] for r in rows])
-    model.index(found, toxic, weight, [r["doc_id"] for r in rows])
-    place = {v: k for k, v in enumerate(model.entries)}
-    memo: dict[tuple, tuple] = {}
-    raw = []
-    for k, v in enumerate(found):
-        if v not in memo:
-            memo[v] = model.nearest(v)
-        raw.append(model.votes(*memo[v], (place[v], weight[k] * toxic[k], weight[k])) if len(memo[v][0]) else model.prior)
-    if rows:
-        model.calibrate(np.array(raw), toxic, weight)
+            own = [places[k] for k in batch.column("key").to_pylist()]
+            raw = [model.votes(*model.nearest(*model.vector(text), leave=place)) for text, place in zip(batch.column("text").to_pylist(), own, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(raw, pa.float64())], ["place", "raw"])
+
+    raw = np.zeros(len(size))
+    for r in once.transform(in_batches, left_out, "place long, raw double").collect():
+        raw[r["place"]] = r["raw"]
+    model.calibrate(raw, model.toxic, model.total)
     return model
 
 
 def score_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """docs with all their columns and score (0 to 1), predicted (1 if score >= threshold) and evidence (doc_ids of the three nearest examples).
+    """docs with all their columns and score (0 to 1), predicted (1 if score >= threshold) and evidence (doc_ids of the nearest three examples).
 
-    Every whole text is scored, without a shuffle; a null or empty text, and one without words, gets the calibrated share of toxic
-    examples. Null and repeated doc_ids do no harm. Columns of docs with these three names are replaced. An empty table gives no rows.
+    Every whole text is scored, without a shuffle; a null or empty text, and one of which the examples have no term, gets the calibrated
+    score of no votes. Null and repeated doc_ids do no harm. Columns of docs with these three names are replaced, others may have any name.
+    An empty table gives no rows.
     """
     docs = docs.drop("score", "predicted", "evidence")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, words, known = shared.value, {}, {}
+        model = shared.value
+        known: dict[str | None, tuple[float, list[int]]] = {}
         for batch in slices(batches, "text"):
-            if len(words) > 100_000:
-                words.clear()
-            if len(known) > 10_000:
-                known.clear()
             out = []
             for text in batch.column("text").to_pylist():
-                vector = model.vector(text, words)
-                if vector not in known:
-                    known[vector] = model.score(vector)
-                out.append(known[vector])
+                if (found := known.get(text)) is None:
+                    if len(known) > 500:
+                        known.clear()
+                    found = known[text] = model.score(text)  # copies often follow each other
+                out.append(found)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([s for s, _ in out], pa.float64()), pa.array([int(s >= threshold) for s, _ in out], pa.int32()), pa.array([e for _, e in out], pa.list_(pa.int64()))],
                 [*batch.schema.names, "score", "predicted", "evidence"],
             )
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", score double, predicted int, evidence array<bigint>"
-    return docs.transform(in_batches, score, schema)
+    return docs.transform(in_batches, score, extended(docs, "score double, predicted int, evidence array<bigint>"))

@@ -1,9 +1,10 @@
 """op2, op4, op5, op6 and op10 against brute force, and their edge cases."""
 
 import hashlib
+import math
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 from hypothesis import given, settings, strategies as st
@@ -259,32 +260,125 @@ def toxic_corpus(seed):
     return rows
 
 
+def learned(spark, rows, labels, **more):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    return docs, toxicity.learn(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), **more)
+
+
 def test_held_out_accuracy(spark):
     rows = toxic_corpus(1)
-    docs = spark.createDataFrame([(k, t, "s") for k, t, _ in rows] + [(None, None, "s"), (9999, "", "s")], "doc_id long, text string, score string")
-    labels = spark.createDataFrame([(k, y) for k, _, y in rows if k % 3] + [(None, 1), (1, None)], "doc_id long, toxic int")
-    model = toxicity.learn(docs, labels)
+    docs, model = learned(spark, [(k, t, "s") for k, t, _ in rows] + [(None, None, "s"), (9999, "", "s")], [(k, y) for k, _, y in rows if k % 3] + [(None, 1), (1, None)])
     got = {r.doc_id: r for r in toxicity.score_documents(docs, model).collect()}
     assert np.mean([got[k].predicted == y for k, _, y in rows if k % 3 == 0]) > 0.97
     assert 0 <= got[9999].score < 0.3 and got[None].score == got[9999].score
     assert toxicity.score_documents(docs.limit(0), model).count() == 0
-    nothing = toxicity.learn(docs, labels.limit(0))
+    nothing = toxicity.learn(docs, spark.createDataFrame([], "doc_id long, toxic int"))
     assert {r.score for r in toxicity.score_documents(docs, nothing).collect()} == {0.0}
+    one_kind = toxicity.learn(docs, spark.createDataFrame([(1, 1), (2, 1)], "doc_id long, toxic int"))
+    assert {r.score for r in toxicity.score_documents(docs, one_kind).collect()} == {1.0}
+
+
+def plain_scores(rows, labels):
+    """The method, by brute force over plain dictionaries: score and evidence of every text."""
+    label = defaultdict(int)
+    for d, y in labels:
+        label[d] = max(label[d], y)
+    texts = defaultdict(list)
+    for d, t, *_ in rows:
+        if d in label:
+            texts[t or ""].append((label[d], d))
+    terms = lambda t: Counter(x for w in re.findall(r"[^\W_]+", (t or "").lower()) for x in [w, *(w[:n] + "*" for n in (6, 5, 4) if len(w) > n)])
+    own = {t: terms(t) for t in texts}
+    vocabulary = set().union(*own.values())
+    share = {t: sum(y for y, _ in v) / len(v) for t, v in texts.items()}
+    df, n1 = Counter(), sum(share.values())
+    for _, t, *_ in rows:
+        df.update(vocabulary & set(terms(t)))
+    n0 = len(share) - n1
+    sure = {}
+    for x in vocabulary:
+        a, b = sum(share[t] for t in texts if x in own[t]), sum(1 - share[t] for t in texts if x in own[t])
+        p = (a + b + 1) / (n0 + n1 + 2)
+        sure[x] = max(0, (a / n1 - b / n0) / math.sqrt(p * (1 - p) * (1 / n1 + 1 / n0)))
+    weight = {x: (1 + math.log((len(rows) + 1) / (df[x] + 1))) * ((sure[x] / max(sure.values())) ** 2 + 0.01) for x in vocabulary}
+
+    def vector(t):
+        v = {x: (1 + math.log(c)) * weight[x] for x, c in terms(t).items() if x in vocabulary}
+        norm = math.sqrt(sum(w * w for w in v.values()))
+        return {x: w / norm for x, w in v.items()}
+
+    vectors = {t: vector(t) for t in texts}
+    toxic, total = {t: float(sum(y for y, _ in v)) for t, v in texts.items()}, {t: float(len(v)) for t, v in texts.items()}
+    prior = sum(toxic.values()) / sum(total.values())
+
+    def votes(v, leave=None):
+        near = sorted(((-sum(w * e.get(x, 0) for x, w in v.items()), t) for t, e in vectors.items() if t != leave), key=lambda p: p[0])
+        near = [(-c, t) for c, t in near[:24] if c < 0]
+        close = [c**4 / (0.05 + max(0, 1 - c)) for c, _ in near]
+        return (sum(w * share[t] for w, (_, t) in zip(close, near)) + 0.1 * prior) / (sum(close) + 0.1), near
+
+    raw = {t: votes(vectors[t], t)[0] for t in texts}
+    pools = []
+    for t in sorted(texts, key=lambda t: raw[t]):
+        pools.append([raw[t] * total[t], toxic[t], total[t]])
+        while len(pools) > 1 and (pools[-2][1] / pools[-2][2] >= pools[-1][1] / pools[-1][2] or pools[-2][0] / pools[-2][2] >= pools[-1][0] / pools[-1][2]):
+            last = pools.pop()
+            pools[-1] = [a + b for a, b in zip(pools[-1], last)]
+    out = []
+    for d, t, *_ in rows:
+        value, near = votes(vector(t))
+        out.append((d, float(np.interp(value, [x / w for x, _, w in pools], [y / w for _, y, w in pools])), [min(d for _, d in texts[t]) for _, t in near[:3]], [c for c, _ in near[:4]]))
+    return out
+
+
+def test_scores_are_those_of_brute_force_in_any_order(spark):
+    """Also with equal texts whose labels clash, nulls, empty texts and repeated doc_ids."""
+    rows = [(k, t, "s") for k, t, _ in toxic_corpus(3)[:160]]
+    rows += [(1000 + k, rows[k][1], "copy") for k in range(30)] + [(2000, None, None), (2001, "", "x"), (3, "another text of a repeated id", "y"), (None, rows[5][1], "z"), (2002, "unknown", ""), (2003, "vile3 " * 3000, "")]
+    labels = [(k, int(k % 5 == 0)) for k in range(160) if k % 4] + [(1000 + k, int(k % 3 == 0)) for k in range(30)] + [(2000, 0), (2001, 1), (3, 1)]
+    want = plain_scores(rows, labels)
+    answers = []
+    for a, b in ((rows, labels), (rows[::-1], labels[::-1])):
+        docs, model = learned(spark, a, b)
+        answers.append(toxicity.score_documents(docs.repartition(3), model).collect())
+    got, other = ({(str(r.doc_id), r.text): r for r in rows_} for rows_ in answers)
+    assert {k: (r.score, r.evidence) for k, r in got.items()} == {k: (r.score, r.evidence) for k, r in other.items()}
+    for (d, t, _), (_, score, evidence, cosines) in zip(rows, want, strict=True):
+        r = got[str(d), t]
+        assert abs(r.score - score) < 1e-9, (d, r.score, score)
+        if all(a - b > 1e-9 for a, b in zip(cosines, cosines[1:])):
+            assert r.evidence == evidence
+
+
+def test_a_few_labels_are_enough(spark):
+    """A near copy of a toxic example without any telling word is near to it; small tables have telling words too."""
+    rows = toxic_corpus(5)[:100]
+    docs, model = learned(spark, [(k, t, "") for k, t, _ in rows] + [(500, " ".join(rows[0][1].split()[:-5]), "")], [(k, y) for k, _, y in rows if k % 4])
+    got = {r.doc_id: r for r in toxicity.score_documents(docs, model).collect()}
+    assert np.mean([got[k].predicted == y for k, _, y in rows if k % 4 == 0]) > 0.85
+    assert got[500].score == got[500].score and len(got[500].evidence) == 3
+
+
+def test_examples_are_bounded(spark):
+    rows = toxic_corpus(6)
+    _, model = learned(spark, [(k % 7, f"{t} {k}", "") for k, t, _ in rows], [(k, k % 2) for k in range(7)], examples=5)
+    assert model.entries == 10
 
 
-def test_nearest_is_exact(spark):
+def test_nearest_is_exact():
     rng = np.random.default_rng(4)
-    model = toxicity.Model({}, np.ones(30))
-    vectors = []
-    for _ in range(500):
-        numbers = np.unique(rng.integers(0, 30, rng.integers(1, 6)))
-        w = rng.random(len(numbers)) + 0.1
-        vectors.append(tuple(zip(numbers.tolist(), np.round(w / np.sqrt((w**2).sum()), 6).tolist(), strict=True)))
-    model.index(vectors, rng.integers(0, 2, 500).astype(float), np.ones(500), list(range(500)))
-    for v in vectors[:60]:
-        q = dict(v)
-        cosines = np.array([sum(q.get(k, 0) * w for k, w in e) for e in model.entries])
-        places, found = model.nearest(v, 10)
-        want = np.lexsort((np.arange(len(cosines)), -np.round(cosines, 9)))[:10]
-        want = want[cosines[want] > 0]
-        assert places.tolist() == want.tolist() and np.allclose(found, cosines[want])
+    model = toxicity.Model(toxicity.Terms({}), np.ones(30))
+    dense = np.where(rng.random((500, 30)) < 0.15, rng.random((500, 30)) + 0.1, 0)
+    dense /= np.maximum(1e-9, np.sqrt((dense**2).sum(1)))[:, None]
+    owner, number = np.nonzero(dense)
+    model.index(owner, number, dense[owner, number], 500)
+    for q in range(60):
+        terms = np.flatnonzero(dense[q])
+        cosines = dense @ dense[q]
+        for leave in (-1, q):
+            if leave >= 0:
+                cosines[leave] = 0
+            places, found = model.nearest(terms, dense[q, terms], 10, leave)
+            want = np.lexsort((np.arange(500), -np.round(cosines, 9)))[:10]
+            want = want[cosines[want] > 0]
+            assert places.tolist() == want.tolist() and np.allclose(found, cosines[want])
