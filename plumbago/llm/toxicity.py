@@ -1,6 +1,6 @@
 """Toxicity by the nearest labelled examples under the exact TF-IDF cosine, searched in a block-max inverted index.
 
-A text's terms are all its words and the beginnings of the longer ones; the examples' terms are the vocabulary, without a limit.
+A text's terms are all its words, runs of letters and digits in lower case, and the beginnings of longer ones; the examples' terms are the vocabulary, without a limit.
 A term's inverse document frequency is counted over all documents, and multiplied by how surely its share among toxic
 examples differs from that among others; no term's factor is 0, so texts without any telling word have near examples too.
 Examples with equal texts are one entry with its label counts. Postings lie in blocks of entries with the greatest weight in
@@ -10,37 +10,28 @@ closeness give a raw score, and a monotone fit on votes of left-out examples cal
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from plumbago.llm.common import extended, in_batches, slices, written
+from plumbago.llm.shingles import mixed, string_hashes
 
 #: Labelled doc_ids of each label that are learned from at most, chosen by a hash of the doc_id, and half the number of different
 #: texts among theirs; their counts are weighed by how many they stand for. The index holds no more, so it is safe to broadcast.
-EXAMPLES = 1000
-PREFIXES = (6, 5, 4)
+EXAMPLES = 500
+#: Letters of a word's beginnings.
+PREFIXES = (5,)
 #: The factor of a term that tells nothing; that of the most telling one is 1 more.
 FLOOR = 0.01
 K, BLOCK = 24, 64
 #: What the share of toxic examples counts for among the votes.
 PRIOR = 0.1
 THRESHOLD = 0.3
-#: Words that a worker remembers the terms of, before it forgets all.
-REMEMBERED = 200_000
-WORD = re.compile(r"[^\W_]+")
-
-
-def terms_of(word: str) -> list[str]:
-    """A word's terms: the word, and its beginnings where it is longer."""
-    return [word, *(word[:n] + "*" for n in PREFIXES if len(word) > n)]
-
-
 def _ranges(begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The numbers from each begin to its end, one after another."""
     many = ends - begins
@@ -48,32 +39,46 @@ def _ranges(begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.arange(upto[-1] if len(upto) else 0) + np.repeat(begins - upto + many, many)
 
 
-@dataclass
-class Terms:
-    """The vocabulary: numbers by term; a word's numbers are remembered."""
-
-    numbers: dict[str, int]
-    memo: dict[str, tuple[int, ...]] = field(default_factory=dict)
-
-    def counted(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """The sorted numbers of a text's terms that the vocabulary has, and how often each stands there."""
-        if len(self.memo) > REMEMBERED:
-            self.memo.clear()
-        numbers, times = [], []
-        for word, n in Counter(WORD.findall((text or "").lower())).items():
-            if (own := self.memo.get(word)) is None:
-                own = self.memo[word] = tuple(self.numbers[t] for t in terms_of(word) if t in self.numbers)
-            numbers += own
-            times += [n] * len(own)
-        found, place = np.unique(np.array(numbers, np.int64), return_inverse=True)
-        return found, np.bincount(place, times, len(found))
+def _added(owner: np.ndarray, value: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct (owner, value) in order, with the sums of their times."""
+    order = np.lexsort((value, owner))
+    owner, value = owner[order], value[order]
+    new = np.ones(len(owner), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (value[1:] != value[:-1])
+    begins = np.flatnonzero(new)
+    return owner[begins], value[begins], np.add.reduceat(times[order], begins) if len(begins) else times[:0]
+
+
+def text_terms(texts: pa.Array, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, term, times) of all texts' terms: 64-bit hashes, or the numbers of those in the sorted known hashes. A null text is empty."""
+    plain = pc.replace_substring_regex(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), "")), r"[^\pL\pN]+", " ")
+    split = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(plain))
+    coded = split.flatten().dictionary_encode()
+    offsets = np.asarray(split.offsets).astype(np.int64)
+    owner, word, times = np.repeat(np.arange(len(split)), np.diff(offsets)), np.asarray(coded.indices).astype(np.int64), np.ones(len(coded), np.int64)
+    size = np.asarray(pc.utf8_length(coded.dictionary)).astype(np.int64)
+    owner, word, times = (x[size[word] > 0] for x in (owner, word, times)) if len(word) else (owner, word, times)
+    code, times = np.unique(owner * max(1, len(size)) + word, return_counts=True)
+    owner, word = code // max(1, len(size)), code % max(1, len(size))
+    found = []
+    for n in (0, *PREFIXES):
+        terms = string_hashes(pc.utf8_slice_codeunits(coded.dictionary, 0, n) if n else coded.dictionary)
+        terms = mixed(terms + np.uint64(n))  # a beginning is another term than a word of the same letters
+        use = size > n
+        if known is not None:
+            place = np.minimum(np.searchsorted(known, terms), max(0, len(known) - 1))
+            use = use & (known[place] == terms) if len(known) else np.zeros(len(terms), bool)
+            terms = place
+        mine = use[word]
+        found.append((owner[mine], terms[word[mine]], times[mine]))
+    return _added(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
 
 @dataclass
 class Model:
     """Entries with their votes, and the postings of their terms in runs: what one term has in one block."""
 
-    terms: Terms
+    terms: np.ndarray  # sorted hashes
     weight: np.ndarray  # of each term
     toxic: np.ndarray = field(default_factory=lambda: np.zeros(0))
     total: np.ndarray = field(default_factory=lambda: np.zeros(0))
@@ -87,10 +92,11 @@ class Model:
     place: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
     value: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
-    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Unit vector of (1 + log count) times term weight, by term number; a text without known terms has none."""
-        numbers, times = self.terms.counted(text)
-        return numbers, self.unit(numbers, times)
+    def vectors(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text, the unit vector of (1 + log count) times term weight, by term number; a text without known terms has none."""
+        owner, number, times = text_terms(texts, self.terms)
+        cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
+        return [(number[a:b], self.unit(number[a:b], times[a:b])) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def unit(self, numbers: np.ndarray, times: np.ndarray) -> np.ndarray:
         values = (1 + np.log(times)) * self.weight[numbers]
@@ -158,29 +164,27 @@ class Model:
                 pools[-1] = [a + b for a, b in zip(pools[-1], last, strict=True)]
         self.steps = np.array([x / w for x, _, w in pools]), np.array([t / w for _, t, w in pools])
 
-    def score(self, text: str | None) -> tuple[float, list[int]]:
-        numbers, weights = self.vector(text)
+    def score(self, numbers: np.ndarray, weights: np.ndarray) -> tuple[float, list[int]]:
         places, cosines = self.nearest(numbers, weights)
         raw = self.votes(places, cosines)
         return min(1.0, max(0.0, float(np.interp(raw, *self.steps)))), self.witness[places[:3]].tolist()
 
 
-def _document_counts(docs: DataFrame, terms: Terms) -> tuple[np.ndarray, int]:
+def _document_counts(docs: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, int]:
     """In how many of docs each term stands, and the number of docs; summed up in tasks before the shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, rows = shared.value, 0
-        totals = np.zeros(len(terms.numbers) + 1, np.int64)
+        totals = np.zeros(len(terms) + 1, np.int64)
         for batch in slices(batches, "text"):
-            own = [terms.counted(t)[0] for t in batch.column("text").to_pylist()]
-            totals += np.bincount(np.concatenate(own), minlength=len(totals))
+            totals += np.bincount(text_terms(batch.column("text"), terms)[1], minlength=len(totals))
             rows += batch.num_rows
         totals[-1] = rows  # the last number is no term's
         some = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(totals[some], pa.int64())], ["term", "n"])
 
-    totals = np.zeros(len(terms.numbers) + 1, np.int64)
+    totals = np.zeros(len(terms) + 1, np.int64)
     found = docs.select("text").transform(in_batches, count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     totals[np.asarray(found.column("term"))] = np.asarray(found.column("n"))
     return totals[:-1], int(totals[-1])
@@ -199,9 +203,10 @@ def _labelled(docs: DataFrame, labels: DataFrame, examples: int) -> tuple[DataFr
 
 def _terms_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
-        own = [Counter(t for w, n in Counter(WORD.findall(text.lower())).items() for t in terms_of(w) for _ in range(n)) for text in batch.column("text").to_pylist()]
-        arrays = [batch.column(c) for c in ("key", "toxic", "n", "witness")]
-        yield pa.RecordBatch.from_arrays([*arrays, pa.array([list(c) for c in own], pa.list_(pa.string())), pa.array([list(c.values()) for c in own], pa.list_(pa.int64()))], ["key", "toxic", "n", "witness", "terms", "times"])
+        owner, terms, times = text_terms(batch.column("text"))
+        cuts = pa.array(np.searchsorted(owner, np.arange(batch.num_rows + 1)), pa.int32())
+        lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (terms.view(np.int64), times)]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "toxic", "n", "witness")), *lists], ["key", "toxic", "n", "witness", "terms", "times"])
 
 
 def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
@@ -212,21 +217,16 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
     twice as many texts; document frequencies are those over all of docs. Without labels, every score is 0; with one kind only, it is that one.
     """
     once, counts = _labelled(docs, labels, examples)
-    found = once.transform(in_batches, _terms_in, "key string, toxic long, n long, witness long, terms array<string>, times array<long>").toArrow().combine_chunks()
+    found = once.transform(in_batches, _terms_in, "key string, toxic long, n long, witness long, terms array<long>, times array<long>").toArrow().combine_chunks()
     if not found.num_rows:
-        return Model(Terms({}), np.zeros(0))
+        return Model(np.zeros(0, np.uint64), np.zeros(0))
     found = found.sort_by([("witness", "ascending"), ("key", "ascending")])
     toxic, n = (np.asarray(found.column(c)).astype(float) for c in ("toxic", "n"))
     terms, times = (found.column(c).combine_chunks() for c in ("terms", "times"))
     size = np.diff(np.asarray(terms.offsets))
-    coded = terms.flatten().dictionary_encode()
-    names = coded.dictionary.to_pylist()
-    sorted_number = np.empty(len(names), np.int64)  # numbers in the order of the terms, so sums are alike for any order of rows
-    sorted_number[sorted(range(len(names)), key=names.__getitem__)] = np.arange(len(names))
-    number, times = sorted_number[np.asarray(coded.indices)], np.asarray(times.flatten())
-    owner = np.repeat(np.arange(len(size)), size)
-    vocabulary = Terms({t: int(k) for t, k in zip(names, sorted_number.tolist(), strict=True)})
-    frequency, rows = _document_counts(docs, vocabulary)
+    names, number = np.unique(np.asarray(terms.flatten()).view(np.uint64), return_inverse=True)
+    times, owner = np.asarray(times.flatten()), np.repeat(np.arange(len(size)), size)
+    frequency, rows = _document_counts(docs, names)
 
     # How surely a term's share among toxic examples is higher than among others, in standard errors, with half an example more of each.
     share = toxic / n
@@ -235,11 +235,9 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
     overall = (with_term[0] + with_term[1] + 1) / (sum(texts) + 2)
     sure = np.maximum(0, (with_term[0] / texts[0] - with_term[1] / texts[1]) / np.sqrt(overall * (1 - overall) * (1 / texts[0] + 1 / texts[1])))
     telling = (sure / max(1e-9, sure.max(initial=0))) ** 2 if min(texts) > 0.5 else np.zeros(len(names))
-    model = Model(vocabulary, (1 + np.log((rows + 1) / (frequency + 1))) * (telling + FLOOR))
+    model = Model(names, (1 + np.log((rows + 1) / (frequency + 1))) * (telling + FLOOR))
 
     # Entries with like strongest terms lie side by side, so that blocks have low maxima for most terms.
-    order = np.lexsort((number, owner))
-    owner, number, times = owner[order], number[order], times[order]
     cuts = np.concatenate([[0], np.cumsum(size)])
     value = np.concatenate([model.unit(number[a:b], times[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
     strongest = [tuple(number[a:b][np.argsort(-value[a:b], kind="stable")[:2]].tolist()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
@@ -260,7 +258,7 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
         model, places = shared.value
         for batch in slices(batches, "text"):
             own = [places[k] for k in batch.column("key").to_pylist()]
-            raw = [model.votes(*model.nearest(*model.vector(text), leave=place)) for text, place in zip(batch.column("text").to_pylist(), own, strict=True)]
+            raw = [model.votes(*model.nearest(*vector, leave=place)) for vector, place in zip(model.vectors(batch.column("text")), own, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(raw, pa.float64())], ["place", "raw"])
 
     raw = np.zeros(len(size))
@@ -282,15 +280,10 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        known: dict[str | None, tuple[float, list[int]]] = {}
         for batch in slices(batches, "text"):
-            out = []
-            for text in batch.column("text").to_pylist():
-                if (found := known.get(text)) is None:
-                    if len(known) > 500:
-                        known.clear()
-                    found = known[text] = model.score(text)  # copies often follow each other
-                out.append(found)
+            coded = batch.column("text").dictionary_encode()  # copies often follow each other
+            own = [model.score(*vector) for vector in model.vectors(coded.dictionary)] + [model.score(*model.vectors(pa.array([""]))[0])]
+            out = [own[k] for k in np.asarray(pc.fill_null(coded.indices, len(own) - 1)).tolist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([s for s, _ in out], pa.float64()), pa.array([int(s >= threshold) for s, _ in out], pa.int32()), pa.array([e for _, e in out], pa.list_(pa.int64()))],
                 [*batch.schema.names, "score", "predicted", "evidence"],

@@ -287,7 +287,7 @@ def plain_scores(rows, labels):
     for d, t, *_ in rows:
         if d in label:
             texts[t or ""].append((label[d], d))
-    terms = lambda t: Counter(x for w in re.findall(r"[^\W_]+", (t or "").lower()) for x in [w, *(w[:n] + "*" for n in (6, 5, 4) if len(w) > n)])
+    terms = lambda t: Counter(x for w in re.findall(r"[^\W_]+", (t or "").lower()) for x in [w, *(w[:n] + "*" for n in (5,) if len(w) > n)])
     own = {t: terms(t) for t in texts}
     vocabulary = set().union(*own.values())
     share = {t: sum(y for y, _ in v) / len(v) for t, v in texts.items()}
@@ -367,7 +367,7 @@ def test_examples_are_bounded(spark):
 
 def test_nearest_is_exact():
     rng = np.random.default_rng(4)
-    model = toxicity.Model(toxicity.Terms({}), np.ones(30))
+    model = toxicity.Model(np.zeros(0, np.uint64), np.ones(30))
     dense = np.where(rng.random((500, 30)) < 0.15, rng.random((500, 30)) + 0.1, 0)
     dense /= np.maximum(1e-9, np.sqrt((dense**2).sum(1)))[:, None]
     owner, number = np.nonzero(dense)
