@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
 #: Bytes of text that one vectorised step in a Python worker handles at once.
 SLICE_BYTES = 1 << 20
@@ -112,6 +112,14 @@ def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
 
 
 def in_batches(df: DataFrame, run: Callable[[Batches], Batches], schema: str | StructType) -> DataFrame:
-    """df.mapInArrow of tidy(run), in batches of at most BATCH_BYTES or one row; sets the session's limit to that."""
+    """df.mapInArrow of tidy(run), in batches of at most BATCH_BYTES or one row; sets the session's limit to that.
+
+    Columns whose names have dots or backticks, which mapInArrow cannot take, go through under other names.
+    """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return df.mapInArrow(tidy(run), schema)
+    odd = {c: unused(df, f"column_{k}") for k, c in enumerate(df.columns) if "." in c or "`" in c}
+    if not odd:
+        return df.mapInArrow(tidy(run), schema)
+    schema = DataType.fromDDL(schema) if isinstance(schema, str) else schema
+    plain = StructType([StructField(odd.get(f.name, f.name), f.dataType, f.nullable) for f in schema.fields])
+    return df.toDF(*(odd.get(c, c) for c in df.columns)).mapInArrow(tidy(run), plain).toDF(*schema.names)

@@ -8,10 +8,11 @@ import math
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from plumbago.llm.common import in_batches, slices
+from plumbago.llm.common import extended, in_batches, slices
 
 # Fixed patterns.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -54,70 +55,86 @@ def words_of(path: str | None) -> dict[str, float]:
     return {w: math.log10(k + 2) for k, w in reversed(list(enumerate(words)))}
 
 
-def _walk_end(text: str, at: int) -> int:
-    end = at + 1
-    while end < len(text) and text[end] in NEIGHBOURS.get(text[end - 1], ""):
-        end += 1
-    return end
+#: Walks, sequences and repeats longer than this are tried from the first or to the last character of theirs only.
+LONG = 64
+UNITS = (1, 2, 3, 4)
 
 
-def _sequence_end(text: str, at: int) -> int:
-    if at + 1 >= len(text) or (step := ord(text[at + 1]) - ord(text[at])) not in (1, -1):
-        return at + 1
-    end = at + 1
-    while end < len(text) and ord(text[end]) - ord(text[end - 1]) == step:
-        end += 1
-    return end
+def _run_starts(value: str, keys: str) -> list[list[int]]:
+    """For each kind of run (walk, sequence, and repeats by unit size) and each character: where the longest run that it ends or goes on with starts."""
+    walk, sequence, step = [], [], 0
+    repeats: list[list[int]] = [[] for _ in UNITS]
+    for k in range(len(value)):
+        walk.append(walk[-1] if k and keys[k] in NEIGHBOURS.get(keys[k - 1], "") else k)
+        now = ord(value[k]) - ord(value[k - 1]) if k else 0
+        sequence.append(k if now not in (1, -1) else sequence[-1] if now == step else k - 1)
+        step = now
+        for size, own in zip(UNITS, repeats, strict=True):
+            own.append(max(0, k - size + 1) if k < size or value[k] != value[k - size] else own[-1])
+    return [walk, sequence, *repeats]
+
+
+def _word_cost(value: str, lower: str, plain: str, words: dict[str, float]) -> float:
+    """log10 guesses of a word of the list, as it stands or with look-alike signs and capitals; infinite for any other."""
+    rank, more = words.get(lower), 0.0
+    if rank is None and (rank := words.get(plain)) is not None:
+        more = math.log10(2) * sum(a != b for a, b in zip(lower, plain, strict=True))
+    if rank is None:
+        return math.inf
+    capitals = sum(c.isupper() for c in value)
+    return rank + more + (0 if not capitals else math.log10(2) if capitals == len(value) or value[0].isupper() and capitals == 1 else capitals * math.log10(len(value)))
+
+
+def run_cost(size: int, unit: int = 0) -> float:
+    """log10 guesses of a walk or sequence of so many characters, or of so many characters of repeated units; infinite where that is none."""
+    if size < 3 or unit and (size % unit or size < 2 * unit):
+        return math.inf
+    return unit * BRUTE + math.log10(size / unit) if unit else math.log10(50) + math.log10(5) * math.log2(size)
 
 
 def guess_cost(value: str, words: dict[str, float], enough: float = math.inf) -> float:
-    """log10 of the guesses that the cheapest of the tried segmentations of value needs; any number of at least `enough` if it needs that many.
+    """log10 of the guesses that the cheapest segmentation of value needs; any number of at least `enough` if it needs that many.
 
     best[j] is the least cost of value[:j], by whether it ends in brute force. Segments: a word of the list (also with
-    capitals or look-alike signs), a date or year, a repeated unit of up to 4 characters, a keyboard walk, a rising or falling
-    sequence, and single brute-force characters. Not all ends and starts of walks, sequences and repeats are tried: a walk starts
-    where the last one ended and ends after 3, 4 or all of its characters. So the cost may be too high, never too low. It stops as soon as every prefix that is still open costs enough.
+    capitals or look-alike signs), a date or year (as the pattern matches at its start), a repeated unit of up to 4 characters, a
+    keyboard walk, a rising or falling sequence, and single brute-force characters. All starts and ends are tried, but of
+    the parts of a run that are longer than LONG only those that hold its first or its last character; so the time is
+    in proportion to the length. It stops once every boundary from which a segment may go on costs enough.
     """
     n = len(value)
-    lower = value.lower()
+    if not n:
+        return 0.0
+    lower = value.lower() if len(value.lower()) == n else value
     plain, keys = lower.translate(LOOKALIKE), lower.translate(SHIFTED)
-    best: dict[int, list[float]] = {0: [0.0, math.inf]}
-    walked = repeated = 0
-
-    def reach(j: int, cost: float, brute: bool = False) -> None:
-        now = best.setdefault(j, [math.inf, math.inf])
-        now[brute] = min(now[brute], cost)
-
-    for i in range(n):
-        if i not in best:
-            continue
-        here, brute = best[i]
-        if min(min(x) for x in best.values()) >= enough:
+    starts = _run_starts(value, keys)
+    solid, brute, start = [math.inf] * (n + 1), [math.inf] * (n + 1), np.full(n + 1, math.inf)
+    solid[0] = start[0] = 0.0  # start[i]: what the next segment from i on begins with
+    dates: dict[int, float] = {}
+    for j in range(1, n + 1):
+        if match := DATE.match(value, j - 1):
+            dates[match.end()] = min(dates.get(match.end(), math.inf), start[j - 1] + (YEAR if match.end() - j == 3 else DAY))
+        brute[j] = min(brute[j - 1] + BRUTE, solid[j - 1] + BRUTE + (SPLIT if j > 1 else 0))
+        here = dates.pop(j, math.inf)
+        for i in range(max(0, j - LONGEST_WORD), j - 2):
+            here = min(here, start[i] + _word_cost(value[i:j], lower[i:j], plain[i:j], words))
+        back = j - LONG
+        for unit, own in zip((0, 0, *UNITS), starts, strict=True):
+            first = own[j - 1]
+            if j - first < max(3, 2 * unit):
+                continue
+            low = first if j == n or own[j] != first else max(first, j - LONG)
+            sizes = np.arange(j - low, max(3, 2 * unit) - 1, -1)
+            costs = RUN_COSTS[unit][sizes] if j - low <= LONG else np.array([run_cost(int(x), unit) for x in sizes])
+            here = min(here, float((start[low : low + len(sizes)] + costs).min()), float(start[first]) + run_cost(j - first, unit))
+            back = min(back, first)
+        solid[j] = here
+        start[j] = min(solid[j], brute[j]) + SPLIT
+        if j % LONG == 0 and back == j - LONG and not dates and min(float(start[back : j + 1].min()) - SPLIT, min(brute[back : j + 1])) >= enough:
             return enough
-        start = min(here, brute) + (SPLIT if i else 0)
-        reach(i + 1, min(brute + BRUTE, here + BRUTE + (SPLIT if i else 0)), True)
-        for j in range(i + 3, min(n, i + LONGEST_WORD) + 1):
-            rank, more = words.get(lower[i:j]), 0.0
-            if rank is None and (rank := words.get(plain[i:j])) is not None:
-                more = math.log10(2) * sum(a != b for a, b in zip(lower[i:j], plain[i:j], strict=True))
-            if rank is not None:
-                capitals = sum(c.isupper() for c in value[i:j])
-                reach(j, start + rank + more + (0 if not capitals else math.log10(2) if capitals == j - i or value[i].isupper() and capitals == 1 else capitals * math.log10(j - i)))
-        for m in filter(None, (DATE.match(value, i),)):
-            reach(m.end(), start + (YEAR if m.end() - i == 4 else DAY))
-        if i >= walked and (walked := max(i + 1, _walk_end(keys, i), _sequence_end(value, i))) - i >= 3:
-            for end in {walked, min(walked, i + 3), min(walked, i + 4)}:
-                reach(end, start + math.log10(50) + math.log10(5) * math.log2(end - i))
-        if i >= repeated:
-            for size in range(1, 5):
-                unit, end = value[i : i + size], i + size
-                while value.startswith(unit, end):
-                    end += size
-                if end - i >= max(3, 2 * size):
-                    repeated = max(repeated, end - 1 if size == 1 else i + 1)
-                    reach(end, start + size * BRUTE + math.log10((end - i) / size))
-        del best[i]
-    return min(best.get(n, [0.0]))
+    return min(solid[n], brute[n])
+
+
+RUN_COSTS = {unit: np.array([run_cost(size, unit) for size in range(LONG + 1)]) for unit in (0, *UNITS)}
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -153,20 +170,22 @@ SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
 
 
 def find_secrets(docs: DataFrame, words_path: str | None = None, least: float = 8.0, texts: bool = False) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_guess, and with `texts` all columns and the text without its secrets.
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_guess, and with `texts` all columns of docs and `redacted`.
 
     Every whole text is scanned once, without a shuffle. A null text is empty and has no spans; null and repeated doc_ids are
     kept; an empty table gives no rows. Kinds: the patterns assign, access and hex, and guess for a value in a credential's context
     whose cheapest segmentation takes 10**least guesses or more; words_path is a tokenizer file whose words count as guessable.
-    With `texts`, each span, joined with those that it meets, becomes `<secret>` in the column `redacted` (null stays null).
+    With `texts`, redacted is the text in which each span, joined with those that it meets, is `<secret>` (null stays null); columns of
+    docs with one of these names are replaced, others may have any name.
     """
+    names = ("n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_guess", *(["redacted"] if texts else []))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if words_path not in _words:
             _words[words_path] = words_of(words_path)
         words = _words[words_path]
         for batch in slices(batches, "text"):
-            out: dict[str, list] = {k: [] for k in ("n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_guess", "redacted")}
+            out: dict[str, list] = {k: [] for k in names}
             for text in batch.column("text").to_pylist():
                 base = base_spans(text or "")
                 more = guessed_spans(text or "", words, least)
@@ -178,13 +197,12 @@ def find_secrets(docs: DataFrame, words_path: str | None = None, least: float =
                 if texts:
                     out["redacted"].append(redacted(text, base + more) if text is not None else None)
             kinds = {"base_sha256": pa.string(), "spans": pa.string(), "redacted": pa.string()}
-            kept = batch.select([n for n in batch.schema.names if texts or n == "doc_id"])
-            yield pa.RecordBatch.from_arrays([*kept.columns, *(pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items() if texts or k != "redacted")], [*kept.schema.names, *(k for k in out if texts or k != "redacted")])
+            kept = batch if texts else batch.select(["doc_id"])
+            yield pa.RecordBatch.from_arrays([*kept.columns, *(pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items())], [*kept.schema.names, *out])
 
-    more = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_guess long"
-    taken = docs.select("doc_id", "text", *(["lang", "source", "n_chars"] if texts else []))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in taken.schema if texts or f.name == "doc_id")
-    return taken.transform(in_batches, scan, f"{kept}, {more}" + ", redacted string" * texts)
+    taken = docs.drop(*names) if texts else docs.select("doc_id", "text")
+    more = ", ".join(f"{k} {'string' if k in ('base_sha256', 'spans', 'redacted') else 'long'}" for k in names)
+    return taken.transform(in_batches, scan, extended(taken if texts else taken.select("doc_id"), more))
 
 
 def redacted(text: str, spans: list[tuple[int, int, int]], mark: str = "<secret>") -> str:

@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from plumbago.llm.common import in_batches, partitions, slices, written
+from plumbago.llm.common import extended, in_batches, partitions, slices, unused, written
 from plumbago.llm.shingles import gram_hashes, mixed, word_hashes
 
 
@@ -66,6 +66,16 @@ def signatures(docs: DataFrame, n: int = N, bands: int = BANDS, rows: int = ROWS
     return docs.select("doc_id", "text").transform(in_batches, sign, "doc_id long, set_key binary, bands array<long>")
 
 
+def _with_key(n: int):  # noqa: ANN202
+    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            grams, offsets = gram_sets(batch.column("text"), n)
+            keys = [xxhash.xxh3_128_digest(grams[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(keys, pa.binary())], ["class_id", "text", "set_key"])
+
+    return key
+
+
 def _groups(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by gid, in batches that hold whole groups: about `most` bytes, or one group."""
     held: list[pa.RecordBatch] = []
@@ -228,8 +238,17 @@ def near_duplicates(docs: DataFrame, n: int = N, similarity: float = SIMILARITY,
     )
     schema = "gid long, band int, side int, diagonal int, set_key binary, class_id long, copies long, bands array<long>"
     needed = written(members.repartition(partitions(spark), "gid").sortWithinPartitions("gid").transform(in_batches, _needed, schema), "meetings")
+    # Each class that meets another brings one text. A null or repeated doc_id, which may stand for several classes, is joined by
+    # its set's key, so that its rows meet their own class only.
+    meeting = needed.select("set_key", "class_id").distinct()
+    shared = written(signed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("class_id")), "shared")
     texts = docs.select(F.col("doc_id").alias("class_id"), "text")
-    joined = needed.alias("n").join(texts.alias("t"), F.col("n.class_id").eqNullSafe(F.col("t.class_id"))).select("n.*", "text")
+    same_id = lambda left, right: left.alias("l").join(right.alias("r"), F.col("l.class_id").eqNullSafe(F.col("r.class_id")), "left_semi")
+    alone = meeting.alias("m").join(shared.alias("s"), F.col("m.class_id").eqNullSafe(F.col("s.class_id")), "left_anti")
+    keyed = same_id(texts, shared).select(F.col("class_id").alias("doc_id"), "text").transform(in_batches, _with_key(n), "class_id long, text string, set_key binary")
+    plain = texts.alias("t").join(alone.alias("a"), F.col("t.class_id") == F.col("a.class_id")).select("a.set_key", "text")
+    brought = plain.union(keyed.join(same_id(meeting, shared).select("set_key"), "set_key", "left_semi").dropDuplicates(["set_key"]).select("set_key", "text"))
+    joined = needed.join(brought, "set_key")
     links = written(joined.repartition(partitions(spark), "gid").sortWithinPartitions("gid").transform(in_batches, _verified(n, similarity), "set_key binary, root binary, links long"), "links")
     labels = components(links)
     counts = links.groupBy("set_key").agg(F.sum("links").alias("links"))
@@ -243,20 +262,23 @@ def near_duplicates(docs: DataFrame, n: int = N, similarity: float = SIMILARITY,
 
 
 def deduplicated(docs: DataFrame, **parameters) -> DataFrame:  # noqa: ANN003
-    """The rows of docs that stand for their group, one for each; all columns stay. Repeated doc_ids are told apart by their n-gram sets."""
-    keepers = written(near_duplicates(docs, **parameters).where("keeper").select(F.col("doc_id").alias("keeper_id"), "set_key").distinct(), "keepers")
-    repeated = docs.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("repeated_id"))
-    single = docs.join(repeated, F.col("doc_id").eqNullSafe(F.col("repeated_id")), "left_anti").join(keepers, F.col("doc_id").eqNullSafe(F.col("keeper_id")), "left_semi")
-    several = docs.join(repeated, F.col("doc_id").eqNullSafe(F.col("repeated_id")), "left_semi")
+    """The rows of docs that stand for their group, one for each; all columns stay, whatever their names.
+
+    Rows of one doc_id are told apart by their n-gram sets; of rows alike in both, any one stays. Null doc_ids and texts are as in
+    near_duplicates(); an empty table gives no rows.
+    """
     n = parameters.get("n", N)
+    keepers = written(near_duplicates(docs, **parameters).where("keeper").select("doc_id", "set_key").distinct(), "keepers")
+    doc_id, set_key = unused(docs, "keeper_id"), unused(docs, "keeper_key")
+    keepers = keepers.toDF(doc_id, set_key)
+    chosen = docs.join(keepers.select(doc_id).distinct(), docs["doc_id"].eqNullSafe(F.col(doc_id)), "left_semi")
+    own = unused(docs, "own_key")
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             grams, offsets = gram_sets(batch.column("text"), n)
             keys = [xxhash.xxh3_128_digest(grams[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*batch.schema.names, "own_key"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*batch.schema.names, own])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", own_key binary"
-    one = several.transform(in_batches, keyed, schema).dropDuplicates(["doc_id", "own_key"])
-    one = one.join(keepers, F.col("doc_id").eqNullSafe(F.col("keeper_id")) & (F.col("own_key") == F.col("set_key")), "left_semi").drop("own_key")
-    return single.unionByName(one)
+    one = chosen.transform(in_batches, keyed, extended(chosen, f"`{own}` binary")).dropDuplicates(["doc_id", own])
+    return one.join(keepers, F.col("doc_id").eqNullSafe(F.col(doc_id)) & (F.col(own) == F.col(set_key)), "left_semi").drop(own)

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -70,6 +71,33 @@ def test_links_and_groups(spark):
     assert neardup.near_duplicates(frame.limit(0)).count() == 0
 
 
+
+def test_null_and_repeated_ids_link_as_others(spark):
+    """Near copies without a doc_id, or all of one doc_id, with the default recall; columns of any name."""
+    rng = random.Random(9)
+    base = [f"q{k}" for k in range(80)]
+    texts = [" ".join([*base[:k], f"new{k}", *base[k + 1 :]]) for k in range(40)] + [" ".join(rng.sample(base, 60)) for _ in range(20)]
+    for ids in ([None] * 60, [7] * 60, [None if k % 2 else 7 for k in range(60)]):
+        frame = spark.createDataFrame([(d, t, "a", b"x", 0) for d, t in zip(ids, texts)], "doc_id long, text string, set_key string, own_key binary, `keeper.id` int").repartition(3)
+        got = sorted(r.n_links for r in neardup.near_duplicates(frame).collect())
+        sets = [grams(t) for t in texts]
+        want = sorted(sum(len(a & b) >= 0.8 * len(a | b) for j, b in enumerate(sets) if j != k) for k, a in enumerate(sets))
+        assert got == want and max(want) > 20
+        kept = neardup.deduplicated(frame)
+        assert kept.columns == frame.columns and kept.count() == 21
+
+
+def test_default_recall(spark):
+    rng = random.Random(10)
+    texts = []
+    for k in range(120):  # pairs just above the threshold
+        own = [f"p{k}_{j}" for j in range(100)]
+        texts += [" ".join(own), " ".join([*own[:48], "x", *own[49:96]])]
+    sets = [grams(t) for t in texts]
+    got = {r.doc_id: r.n_links for r in neardup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert all(len(sets[k] & sets[k ^ 1]) >= 0.8 * len(sets[k] | sets[k ^ 1]) for k in range(240)) and sum(got.values()) == 240
+
+
 def test_repeated_rows_leave_one(spark):
     frame = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (None, "x y z"), (None, "x y z"), (2, "q")], "doc_id long, text string")
     assert sorted(neardup.deduplicated(frame).collect(), key=str) == sorted([(1, "a b c d e f"), (None, "x y z"), (2, "q")], key=str)
@@ -141,6 +169,57 @@ def test_guess_costs():
         assert credentials.guess_cost(strong, words) >= 8 and credentials.guess_cost(strong, words, 8.0) >= 8
 
 
+def plain_cost(value, words):
+    """The least cost over all segmentations, segment by segment, without run tables."""
+    lower = value.lower()
+    plain, keys = lower.translate(credentials.LOOKALIKE), lower.translate(credentials.SHIFTED)
+
+    def costs(i, j):
+        size, part = j - i, value[i:j]
+        out = [credentials._word_cost(part, lower[i:j], plain[i:j], words)] if 3 <= size <= 24 else []
+        m = credentials.DATE.match(value, i)
+        if m and m.end() == j:
+            out.append(credentials.YEAR if size == 4 else credentials.DAY)
+        if size >= 3 and (all(keys[k] in credentials.NEIGHBOURS.get(keys[k - 1], "") for k in range(i + 1, j)) or all(ord(value[k]) - ord(value[k - 1]) == 1 for k in range(i + 1, j)) or all(ord(value[k]) - ord(value[k - 1]) == -1 for k in range(i + 1, j))):
+            out.append(credentials.run_cost(size))
+        out += [credentials.run_cost(size, u) for u in (1, 2, 3, 4) if size % u == 0 and part == part[:u] * (size // u)]
+        return min(out, default=math.inf)
+
+    solid, brute = {0: 0.0}, {0: math.inf}
+    for j in range(1, len(value) + 1):
+        split = lambda i: credentials.SPLIT if i else 0
+        brute[j] = min(brute[j - 1] + 1, solid[j - 1] + 1 + split(j - 1))
+        solid[j] = min(min(solid[i], brute[i]) + split(i) + costs(i, j) for i in range(j))
+    return min(solid[len(value)], brute[len(value)])
+
+
+VALUES = st.lists(st.sampled_from(["a", "b", "ab", "1", "12", "123", "qwe", "rty", "567", "cba", "password", "P@ss", "2024", "19870412", "aaa", "xyx", "!", "K", "tgb", "zz", "monkey", "Q"]), max_size=9).map("".join)
+WORDS = credentials.words_of(None)
+
+
+@settings(deadline=None, max_examples=400)
+@given(VALUES)
+def test_guess_cost_is_the_least_of_all_segmentations(value):
+    want = plain_cost(value, WORDS) if value else 0.0
+    assert abs(credentials.guess_cost(value, WORDS) - want) < 1e-9
+    assert (credentials.guess_cost(value, WORDS, 8.0) >= 8) == (want >= 8)
+
+
+def test_long_values_take_time_in_proportion():
+    for value in ("ab" * 40_000, "a" * 80_000, "qwertyuiop" * 8000, "x7$Kq!zP2" * 9000):
+        began = time.time()
+        assert credentials.guess_cost(value, WORDS, 8.0) > 0
+        assert time.time() - began < 30
+    assert credentials.guess_cost("1234567890password", WORDS) < 5 and credentials.guess_cost("ab" * 4000, WORDS) < 8
+
+
+def test_redacted_keeps_all_columns(spark):
+    frame = spark.createDataFrame([(1, "pwd is x7$Kq!zP2.", "s", 5, 1)], "doc_id long, text string, `od.d` string, spans int, kept int")
+    got = credentials.find_secrets(frame, texts=True)
+    assert {"doc_id", "text", "od.d", "kept", "spans", "redacted"} <= set(got.columns) and got.columns.count("spans") == 1
+    assert got.first().redacted == "pwd is <secret>."
+
+
 def test_secret_columns(spark):
     rows = [(1, "password=abcdefgh1 pwd is x7$Kq!zP2.", 0), (None, None, 0), (2, "", 0), (2, "AKIA" + "A" * 200_000, 0)]
     got = credentials.find_secrets(spark.createDataFrame(rows, "doc_id long, text string, spans int")).collect()
