@@ -12,7 +12,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from plumbago.llm.common import written
+from plumbago.llm.common import unused, written
 
 #: Ranges for each shard, and expected draws for each range: the driver gets some shards * RANGES * DRAWS keys, whatever the input.
 RANGES, DRAWS = 128, 16
@@ -35,12 +35,17 @@ def shard_records(records: DataFrame, shards: int = 24) -> DataFrame:
 
     A record counts the UTF-8 bytes of its text plus 8; a null text has none and crc32 0 bytes. Equal texts have one key, so
     they follow each other and share a shard, unless there are so many that their range is overfull; then they are dealt
-    over neighbouring shards. Ties are ordered by doc_id; null doc_ids come first, and rows that are alike in everything get different
-    slots. An empty table gives no rows. Other columns are not read. Texts are read once and not shuffled: only keys,
-    sizes and doc_ids are.
+    over neighbouring shards by a hash of the doc_id and the row's number, so rows alike in everything are dealt out too. Ties are
+    ordered by doc_id; null doc_ids come first, and all rows get different slots. An empty table gives no rows. Other columns are
+    not read. Texts are read once and not shuffled: only keys, sizes and doc_ids are.
     """
+    return _placed(records.select("doc_id", "text", F.monotonically_increasing_id().alias("row_id")), shards).drop("row_id")
+
+
+def _placed(records: DataFrame, shards: int) -> DataFrame:
+    """shard_records() with the row_id that each record came with. The keys are written, so a row_id stays with its record."""
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 8
-    keyed = records.select("doc_id", size.alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"), F.xxhash64("text", F.lit(1)).alias("key"), F.xxhash64("doc_id", F.lit(2)).alias("second"))
+    keyed = records.select("doc_id", size.alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"), F.xxhash64("text", F.lit(1)).alias("key"), F.xxhash64("doc_id", "row_id", F.lit(2)).alias("second"), "row_id")
     keyed = written(keyed, "shard-keys")
     total, rows = keyed.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
     ranges = shards * RANGES
@@ -61,7 +66,7 @@ def shard_records(records: DataFrame, shards: int = 24) -> DataFrame:
     ahead = Window.orderBy("range", "sub").rowsBetween(Window.unboundedPreceding, -1)
     cells = ranged.groupBy(*cell).agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).select(*cell, F.coalesce(F.sum("b").over(ahead), F.lit(0)).alias("bytes_before"), F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("rows_before"))
     inside = Window.partitionBy("range", "sub").orderBy("order")
-    each = Window.partitionBy("range", "sub").orderBy("order", F.col("doc_id").asc_nulls_first(), "size", "text_crc32")
+    each = Window.partitionBy("range", "sub").orderBy("order", F.col("doc_id").asc_nulls_first(), "size", "text_crc32", "row_id")
     placed = (
         ranged.withColumn("upto", F.sum("size").over(inside.rangeBetween(Window.unboundedPreceding, 0))).withColumn("nth", F.row_number().over(each))
         .join(F.broadcast(cells), ["range", "sub"])
@@ -69,12 +74,20 @@ def shard_records(records: DataFrame, shards: int = 24) -> DataFrame:
         .withColumn("shard", F.floor((F.col("bytes_before") + F.col("upto") - 1) * F.lit(shards) / F.lit(max(total, 1))).cast("int"))
         .withColumn("row", F.col("rows_before") + F.col("nth") - 1)
     )
-    placed = written(placed.select("doc_id", "size", "text_crc32", "shard", "row"), "shard-rows")
+    placed = written(placed.select("doc_id", "size", "text_crc32", "shard", "row", "row_id"), "shard-rows")
     firsts = placed.groupBy("shard").agg(F.min("row").alias("first"))
-    return placed.join(F.broadcast(firsts), "shard").select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("row") - F.col("first")).cast("long").alias("slot"))
+    return placed.join(F.broadcast(firsts), "shard").select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("row") - F.col("first")).cast("long").alias("slot"), "row_id")
 
 
 def write_shards(records: DataFrame, path: str, shards: int = 24) -> None:
-    """The records themselves, with doc_id as their key, in one folder for each shard."""
-    placed = shard_records(records, shards).select("doc_id", "shard", "slot")
-    records.join(placed, "doc_id").write.partitionBy("shard").parquet(path)
+    """The records themselves, with all their columns, each once: a folder shard=k for each shard that has any, its files ordered by slot.
+
+    The records are written to the shared folder with a number first, by which each meets its place again; null and repeated
+    doc_ids do no harm. Where records have a column shard or slot, those of the files get an underscore more. An empty table gives no folders.
+    """
+    names = {c: unused(records, c) for c in ("row_id", "shard", "slot")}
+    kept = written(records.withColumn(names["row_id"], F.monotonically_increasing_id()), "shard-records")
+    placed = _placed(kept.select("doc_id", "text", F.col(names["row_id"]).alias("row_id")), shards)
+    placed = placed.select(*(F.col(c).alias(n) for c, n in names.items()))
+    rows = kept.join(placed, names["row_id"]).drop(names["row_id"])
+    rows.sortWithinPartitions(names["shard"], names["slot"]).write.partitionBy(names["shard"]).parquet(path)

@@ -50,6 +50,25 @@ def test_shards(spark):
     assert max(sizes) < 1.06 * min(sizes)
 
 
+def test_rows_alike_are_dealt_out(spark):
+    got = shards_of(spark, [(None, "", 0, "") for _ in range(4000)] + [(k, "other", 0, "") for k in range(100)])
+    by = Counter(r.shard for r in got)
+    assert set(by) == {0, 1, 2, 3} and max(by.values()) < 1.1 * min(by.values())
+    assert len({(r.shard, r.slot) for r in got}) == 4100
+
+
+def test_written_shards_hold_every_record_once(spark, tmp_path):
+    rows = [(None, "a", 1), (3, "b", 2), (3, "b", 2), (3, "c", 5), (4, None, 3), (5, "", 4)] + [(k, "hot", k) for k in range(100, 400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, shard long").repartition(3)
+    sharding.write_shards(frame, str(tmp_path / "out"), 4)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert Counter((r.doc_id, r.text, r.shard) for r in back.collect()) == Counter(rows)
+    slots = defaultdict(list)
+    for r in back.collect():
+        slots[r.shard_].append(r.slot)
+    assert set(slots) == {0, 1, 2, 3} and all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_equal_texts_stay_together(spark):
     got = shards_of(spark, [(k, f"text {k // 2}", 0, "") for k in range(8000)])
     where = defaultdict(set)
