@@ -51,25 +51,35 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     )
 
 
+def turns_of(text: Column) -> Column:
+    """The turns (role, text), unescaped, that a formatted text says."""
+    parts = F.transform(F.filter(F.split(text, F.lit(r"<\|im_end\|>\n")), lambda x: x != ""), lambda x: F.substring(x, len(START) + 1, 1 << 30))
+    return F.transform(parts, lambda x: F.struct(F.url_decode(F.substring_index(x, "\n", 1)).alias("role"), unescaped(x.substr(F.locate("\n", x) + 1, F.length(x))).alias("text")))
+
+
 def read_turns(examples: DataFrame) -> DataFrame:
-    """Examples with what their text says: turns (role, text), unescaped, and the trainable text, unescaped."""
-    parts = F.transform(F.filter(F.split("text", F.lit(r"<\|im_end\|>\n")), lambda x: x != ""), lambda x: F.substring(x, len(START) + 1, 1 << 30))
-    turns = F.transform(parts, lambda x: F.struct(F.url_decode(F.substring_index(x, "\n", 1)).alias("role"), unescaped(x.substr(F.locate("\n", x) + 1, F.length(x))).alias("text")))
-    return examples.withColumn("turns", turns).withColumn("trained", unescaped(F.col("text").substr((F.col("loss_start") + 1).cast("int"), (F.col("loss_end") - F.col("loss_start")).cast("int"))))
+    """Examples with what their text says: turns (role, text), unescaped, and the trainable text, unescaped. No examples give no rows."""
+    trained = unescaped(F.col("text").substr((F.col("loss_start") + 1).cast("int"), (F.col("loss_end") - F.col("loss_start")).cast("int")))
+    return examples.withColumn("turns", turns_of(F.col("text"))).withColumn("trained", trained)
 
 
 def conversation_digests(examples: DataFrame) -> DataFrame:
-    """For each conversation, from its examples: the last reply's example holds all turns up to it, the rest follow."""
-    said = lambda turns: F.array_join(F.transform(turns, lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
-    one = F.struct("example", "turns", "trained", F.length("text").cast("long").alias("n"), (F.col("kind") == "rest").alias("rest"))
-    kept = F.array_sort(F.collect_list("one"))
+    """For each conversation, from its examples' texts: the last reply's example holds all turns up to it, the rest follow.
+
+    Of the other examples only the trainable text and the length are kept, so a conversation's row grows with its turns alone. A null
+    conv_id is one conversation; no examples give no rows.
+    """
+    reply = F.col("kind") != "rest"
     grouped = (
-        read_turns(examples).select("conv_id", one.alias("one")).groupBy("conv_id").agg(kept.alias("all"))
-        .withColumn("replies", F.filter("all", lambda x: ~x["rest"]))
-        .withColumn("whole", F.concat(F.coalesce(F.get("replies", F.size("replies") - 1)["turns"], F.array().cast("array<struct<role:string,text:string>>")), F.flatten(F.transform(F.filter("all", lambda x: x["rest"]), lambda x: x["turns"]))))
+        read_turns(examples).drop("turns").groupBy("conv_id").agg(
+            F.max_by(F.when(reply, F.col("text")), F.when(reply, F.col("example"))).alias("upto"), F.max_by(F.when(~reply, F.col("text")), F.when(~reply, F.col("example"))).alias("after"),
+            F.array_sort(F.collect_list(F.when(reply, F.struct("example", "trained")))).alias("replies"), F.sum(F.length("text")).cast("long").alias("formatted_chars"),
+        )
+        .withColumn("whole", turns_of(F.concat(F.coalesce("upto", F.lit("")), F.coalesce("after", F.lit("")))))
         .withColumn("trained", F.array_join(F.transform("replies", lambda x: x["trained"]), ""))
     )
+    said = F.array_join(F.transform("whole", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
     return grouped.select(
-        "conv_id", F.size("whole").cast("long").alias("n_turns"), F.sha2(said(F.col("whole")), 256).alias("turns_sha256"), F.length("trained").cast("long").alias("loss_chars"),
-        F.sha2(F.col("trained"), 256).alias("loss_sha256"), F.aggregate("all", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("formatted_chars"),
+        "conv_id", F.size("whole").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), F.length("trained").cast("long").alias("loss_chars"),
+        F.sha2(F.col("trained"), 256).alias("loss_sha256"), "formatted_chars",
     )

@@ -6,6 +6,7 @@ import ctypes
 import functools
 import tempfile
 import uuid
+import warnings
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,6 +25,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see: spark.checkpoint.dir, or one of our own where that is unset."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("plumbago.shared.dir", "")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            warnings.warn("spark.checkpoint.dir is unset: tables go to a folder of the driver, which executors on other machines do not see", stacklevel=2)
         base = tempfile.mkdtemp(prefix="plumbago-")
         spark.sparkContext.setCheckpointDir(base)
         spark.conf.set("plumbago.shared.dir", base)
