@@ -42,8 +42,8 @@ def best_matches(pairs: DataFrame, key: str, other: str, threshold: float, top:
 
 
 def cluster_count(n: int, asked: int = 0) -> int:
-    """A third of n, 2 at least and 8 at most, less than n."""
-    return max(1, min(n, asked or max(2, min(8, n - 1, round(n / 3)))))
+    """The number asked for, or a third of n and 8 at most; less than n but 2 at least, and 1 for a single row."""
+    return min(n, max(2, min(asked or max(2, min(8, n - 1, round(n / 3))), n - 1)))
 
 
 def average_linkage(similarity: np.ndarray, k: int) -> np.ndarray:
@@ -79,16 +79,47 @@ def cluster(vectors: DataFrame, group: str, key: str, vector: str, asked: int =
     return vectors.select(group, key, vector).groupBy(group).applyInPandas(label, f"{group} {kinds[group]}, {key} {kinds[key]}, cluster long")
 
 
-def name_groups(steps: DataFrame, group: str, text: str, order: str) -> DataFrame:
-    """(group, group_name): frequent noun and verb of its steps, or its two most frequent words; ties by first occurrence."""
-    words = steps.select(group, order, F.posexplode(F.regexp_extract_all(F.lower(text), F.lit(r"\b([a-z]{4,})\b"), 1)).alias("pos", "word")).where(~F.col("word").isin(*config.SKIP))
-    counts = words.groupBy(group, "word").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(order, "pos")).alias("first"))
-    ranked = lambda test: F.array_sort(F.collect_list(F.when(test, F.struct((-F.col("n")).alias("n"), "first", "word"))))
-    tops = counts.groupBy(group).agg(ranked(F.col("word").isin(*config.VERBS)).alias("verbs"), ranked(F.col("word").isin(*config.NOUNS)).alias("nouns"), ranked(F.lit(True)).alias("all"))
-    word = lambda column, k: F.initcap(F.get(column, F.lit(k))["word"])
-    verb, noun = word("verbs", 0), word("nouns", 0)
-    name = F.when(verb.isNotNull() & noun.isNotNull(), F.concat_ws(" ", noun, verb)).when(verb.isNotNull(), F.concat_ws(" ", verb, F.lit("Process"))).when(noun.isNotNull(), F.concat_ws(" ", noun, F.lit("Processing"))).otherwise(F.concat_ws(" ", word("all", 0), word("all", 1)))
-    return tops.select(group, name.alias("group_name"))
+def cluster_pairs(keys: DataFrame, pairs: DataFrame, key: str, other: str, asked: int = 0, most: int = 5000) -> DataFrame:
+    """(key, cluster) of all keys by average linkage over pairs (key, other, sim); a pair that is not given has 0. Clusters count up by their first key.
+
+    In one task, with the square of the number of keys as memory; more than `most` keys are an error.
+    """
+    kind = dict(keys.dtypes)[key]
+    rows = keys.select(F.lit(0).alias("g"), key, F.lit(None).cast(kind).alias(other), F.lit(0.0).alias("sim")).unionByName(pairs.select(F.lit(0).alias("g"), key, other, "sim"))
+
+    def label(pdf: pd.DataFrame) -> pd.DataFrame:
+        single = pdf[other].isna()
+        names = sorted(pdf.loc[single, key])
+        if len(names) > most:
+            raise ValueError(f"{len(names)} rows; average linkage is for {most} at most")
+        place = {name: k for k, name in enumerate(names)}
+        similarity = np.zeros((len(names), len(names)))
+        a, b = pdf.loc[~single, key].map(place).to_numpy(int), pdf.loc[~single, other].map(place).to_numpy(int)
+        similarity[a, b] = similarity[b, a] = np.round(pdf.loc[~single, "sim"].to_numpy(float), 9)
+        return pd.DataFrame({key: names, "cluster": average_linkage(similarity, cluster_count(len(names), asked)).astype(np.int64)})
+
+    return rows.groupBy("g").applyInPandas(label, f"{key} {kind}, cluster long")
+
+
+def name_groups(steps: DataFrame, group: str, text: str, order: str | Column) -> DataFrame:
+    """(group, group_name): frequent noun and verb of its steps, or its two most frequent words; ties by first occurrence; `Group n` (n is the
+    number group, from 0, plus 1) where there are no words, as far as group is a number.
+
+    Each group's words are counted and ranked by a window on the counts; no group is collected.
+    """
+    place = order if isinstance(order, Column) else F.col(order)
+    base = steps.select(group, place.alias("_place"), F.col(text).alias("_text"))
+    words = base.select(group, "_place", F.posexplode(F.regexp_extract_all(F.lower("_text"), F.lit(r"\b([a-z]{4,})\b"), 1)).alias("pos", "word")).where(~F.col("word").isin(*config.SKIP))
+    counts = words.groupBy(group, "word").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_place", "pos")).alias("first"))
+    rank = lambda *by: F.row_number().over(Window.partitionBy(group, *by).orderBy(F.col("n").desc(), "first"))
+    counts = counts.withColumn("verb", F.col("word").isin(*config.VERBS)).withColumn("noun", F.col("word").isin(*config.NOUNS))
+    counts = counts.withColumn("nth", rank()).withColumn("nth_verb", rank("verb")).withColumn("nth_noun", rank("noun"))
+    one = lambda test, name: F.max(F.when(test, F.initcap("word"))).alias(name)
+    tops = counts.groupBy(group).agg(one(F.col("verb") & (F.col("nth_verb") == 1), "v"), one(F.col("noun") & (F.col("nth_noun") == 1), "n"), one(F.col("nth") == 1, "a"), one(F.col("nth") == 2, "b"))
+    verb, noun = F.col("v"), F.col("n")
+    name = F.when(verb.isNotNull() & noun.isNotNull(), F.concat_ws(" ", noun, verb)).when(verb.isNotNull(), F.concat_ws(" ", verb, F.lit("Process"))).when(noun.isNotNull(), F.concat_ws(" ", noun, F.lit("Processing"))).when(F.col("a").isNotNull(), F.concat_ws(" ", "a", "b"))
+    number = F.concat(F.lit("Group "), (F.expr(f"try_cast(cast(`{group}` as string) as bigint)") + 1).cast("string"))
+    return base.select(group).distinct().join(tops, group, "left").select(group, F.coalesce(name, number).alias("group_name"))
 
 
 def encode(df: DataFrame, text: str, encoder, name: str = "vector") -> DataFrame:  # noqa: ANN001

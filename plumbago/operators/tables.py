@@ -43,3 +43,9 @@ def outcome_totals(df: DataFrame, outcome: str, key: str) -> DataFrame:
     """Distinct keys of each outcome, and a row Total with the sum of these."""
     counts = df.groupBy(outcome).agg(F.countDistinct(key).alias("n")).where("n > 0")
     return counts.unionByName(counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(F.lit("Total").alias(outcome), "n"))
+
+
+def column_widths(cells: DataFrame, column: str, text: str, factor: float = 1.2, least: float = 10.0, most: float = 60.0) -> DataFrame:
+    """For each column: its filled cells, the characters of its widest cell, and the width estimated from these, between least and most."""
+    widest = F.max(F.length(text))
+    return cells.groupBy(column).agg(F.count_if(F.col(text) != "").alias("filled"), widest.alias("widest"), F.round(F.least(F.greatest(widest * F.lit(factor), F.lit(least)), F.lit(most)), 6).alias("width"))

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from plumbago import config
 from plumbago.functions import text as T
 from plumbago.operators import ordered, similarity, tables
+from plumbago.plans import binary, grouping
 
 WORDS = ["thereof", "the", "and"]
 
@@ -20,9 +22,8 @@ def word_hits(spark, sf_dir):
 
 
 def word_not_found(spark, sf_dir):
-    docs = _t(spark, sf_dir, "documents")
-    hits = docs.where(F.size(T.word_hits(F.col("text"), ["the", "and"])) > 0).select("doc_id").distinct()
-    return docs.select("doc_id").join(hits, "doc_id", "left_anti")
+    hit = F.size(T.word_hits(F.coalesce("text", F.lit("")), ["the", "and"])) > 0
+    return _t(spark, sf_dir, "documents").groupBy("doc_id").agg(F.max(hit).alias("hit")).where("NOT hit").select("doc_id")
 
 
 def word_summary(spark, sf_dir):
@@ -171,6 +172,48 @@ def cluster_docs(spark, sf_dir):
     return similarity.cluster(vectors, "g", "doc_id", "v").select("doc_id", "cluster")
 
 
+def _part_steps(spark, sf_dir):
+    """Parts as steps: a document for each brand and size, whose steps are the parts' names and types."""
+    return _t(spark, sf_dir, "part").select(F.concat_ws(" ", "p_brand", "p_size").alias("path"), F.col("p_partkey").alias("step_no"), F.lower(F.concat_ws(" ", F.lit("verify"), "p_name", "p_type")).alias("step"))
+
+
+def step_matches(spark, sf_dir):
+    steps = _part_steps(spark, sf_dir)
+    groups = steps.select("path").distinct().withColumn("group", F.regexp_extract("path", r"(\S+)$", 1))
+    return grouping.step_matches(steps.select("path", "step_no", "step"), groups, ["verify", "and", "the"])
+
+
+def group_names(spark, sf_dir):
+    """Names of nine groups of parts, with a verb for some of them, and none with words for others."""
+    steps = _part_steps(spark, sf_dir).withColumn("size", F.pmod("step_no", F.lit(9)))
+    text = F.when(F.col("size") == 0, "1 2 3").when(F.col("size") < 3, F.concat(F.lit("Invoice posting; payment approval, "), "step")).when(F.col("size") < 5, F.concat(F.lit("ledger "), "step")).otherwise(F.col("step"))
+    return similarity.name_groups(steps.withColumn("text", text), "size", "text", "step_no").select(F.col("size").cast("int").alias("size"), "group_name")
+
+
+def group_documents(spark, sf_dir):
+    """The grouping from steps to the report's rows, over the test items: sentences are steps, and items with few words reference documents."""
+    items = _t(spark, sf_dir, "benchmark")
+    steps = items.select(F.col("item_id").alias("path"), F.posexplode(F.split("text", r"[.\n]+\s*")).alias("step_no", "step")).where("step <> ''")
+    return grouping.grouped(steps, items.select(F.col("item_id").alias("path"))).select("group_name", "path", F.array_join("lines", "\n").alias("lines"))
+
+
+def report_sizes(spark, sf_dir):
+    """What a report's layout needs of a table of cells: the most cells of a row, and for each column its cells, its widest one and its width."""
+    cells = tables.cells_of(_pipe_rows(spark, sf_dir), "line", r"\|")
+    return tables.column_widths(cells, "cell_no", "cell")
+
+
+def binary_header(spark, sf_dir):
+    """Header fields as binary documents hold them: an order's lines as cells between marks, some short of a colon, too long or with remains of field codes."""
+    rows = _t(spark, sf_dir, "orders").join(_t(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    k = F.col("o_orderkey")
+    cells = (
+        F.concat(F.lit("SOP No: "), k), F.lit("no pair"), F.concat(F.lit("Organ\x01isation\r: "), F.col("c_mktsegment")), F.when(k % 2 == 0, "sop no: again").otherwise("Bad@label: x"), F.lit(""), F.lit("..."), F.lit(""),
+        F.concat(F.lit("Status: "), F.col("o_orderstatus")), F.when(k % 3 == 0, F.concat(F.lit("Price: "), F.repeat(F.lit("9"), 200))).otherwise("HYPERLINK: y"), F.lit("-"), F.lit("-"), F.lit("-"), F.lit("Late: one"), F.when(k % 5 == 0, "Title: two").otherwise("OJQJ: z"),
+    )
+    return binary.header_fields(rows.select(k.alias("path"), F.concat_ws(binary.CELL, *cells).alias("text")))
+
+
 def fan_out(spark, sf_dir):
     orders = _t(spark, sf_dir, "lineitem").where("l_linestatus = 'F'").groupBy("l_orderkey").agg(F.sort_array(F.collect_set("l_returnflag")).alias("slots")).withColumn("header", F.lit("Flag"))
     return tables.fan_out(orders, ["l_orderkey"], "header", "slots").select("l_orderkey", "slot_header", "slot_value")
@@ -183,7 +226,7 @@ def synonyms(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     word_hits, word_not_found, word_summary, distinct_blocks, section_carry, nth_section, asof_heading, next_with_barrier, positional_zip, gap_groups, gap_best_group, autonumber,
     pipe_cells, tables_by_header, label_value, placeholder_vote, outcome_summary, prefer_ext, page_links, no_link_fill, url_ext_type, codes, numbered_steps, word_freq_name,
-    tfidf_topk, cosine_topk, cluster_docs, fan_out, synonyms,
+    tfidf_topk, cosine_topk, cluster_docs, fan_out, synonyms, step_matches, group_names, group_documents, report_sizes, binary_header,
 )}
 
 _LINES = "lines AS (SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS line_no, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL))"
@@ -237,5 +280,36 @@ SELECT doc_id, other_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY si
 SELECT vec_id, other_id, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, other_id) AS INTEGER) AS rank FROM p WHERE sim >= 0.35 QUALIFY rank <= 5""",
     "fan_out": """WITH s AS (SELECT l_orderkey, list_sort(list(DISTINCT l_returnflag)) AS s FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1), u AS (SELECT l_orderkey, len(s) AS n, generate_subscripts(s, 1) AS k, unnest(s) AS slot_value FROM s)
 SELECT l_orderkey, CASE WHEN n > 1 THEN 'Flag ' || k ELSE 'Flag' END AS slot_header, slot_value FROM u""",
+    "step_matches": r"""WITH s AS (SELECT p_brand || ' ' || p_size AS path, p_partkey AS step_no, lower('verify ' || p_name || ' ' || p_type) AS step FROM part),
+o AS (SELECT *, regexp_extract(path, '(\S+)$', 1) AS g, list_filter(regexp_extract_all(regexp_replace(step, '^verify', 'validate'), '\b(\w\w+)\b', 1), lambda w: w NOT IN ('verify', 'and', 'the')) AS w FROM s),
+t AS (SELECT g, path, step_no, unnest(w || list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1])) AS term FROM o),
+c AS (SELECT g, path, step_no, term, count(*) AS tf FROM t GROUP BY ALL), n AS (SELECT g, count(*) AS n FROM o GROUP BY 1),
+i AS (SELECT g, term, ln((1 + any_value(n)) / (1 + count(*))) + 1 AS idf FROM c JOIN n USING (g) GROUP BY 1, 2),
+u AS (SELECT g, path, step_no, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY path, step_no)) AS w FROM c JOIN i USING (g, term)),
+p AS (SELECT a.path, a.step_no, sum(a.w * b.w) AS sim FROM u a JOIN u b ON a.g = b.g AND a.term = b.term AND a.path <> b.path GROUP BY a.path, a.step_no, b.path, b.step_no),
+x AS (SELECT o.path, o.step_no, o.step, round(max(sim), 9) AS sim FROM o LEFT JOIN p USING (path, step_no) GROUP BY ALL),
+y AS (SELECT *, coalesce(sim >= 0.12, false) AS hit, max(coalesce(sim >= 0.12, false)) OVER (PARTITION BY path) AS found FROM x),
+z AS (SELECT path, step, CAST(row_number() OVER (PARTITION BY path ORDER BY CASE WHEN found THEN sim END DESC NULLS LAST, step_no) AS INTEGER) AS rank, CASE WHEN found THEN CAST(floor(sim * 100) AS INTEGER) ELSE 0 END AS pct FROM y WHERE hit OR NOT found)
+SELECT path, rank, step, pct FROM z WHERE rank <= 5""",
+    "group_names": f"""WITH s AS (SELECT p_partkey, CAST(p_partkey % 9 AS INTEGER) AS size, lower('verify ' || p_name || ' ' || p_type) AS step FROM part),
+t AS (SELECT size, p_partkey, lower(CASE WHEN size = 0 THEN '1 2 3' WHEN size < 3 THEN 'Invoice posting; payment approval, ' || step WHEN size < 5 THEN 'ledger ' || step ELSE step END) AS text FROM s),
+l AS (SELECT size, p_partkey, regexp_extract_all(text, '\\b([a-z]{{4,}})\\b', 1) AS l FROM t),
+w AS (SELECT size, p_partkey, generate_subscripts(l, 1) AS pos, unnest(l) AS word FROM l),
+c AS (SELECT size, word, count(*) AS n, min(p_partkey * 1000 + pos) AS f, word IN {config.VERBS} AS verb, word IN {config.NOUNS} AS noun FROM w WHERE word NOT IN {config.SKIP} GROUP BY size, word),
+r AS (SELECT *, row_number() OVER (PARTITION BY size ORDER BY n DESC, f) AS k, row_number() OVER (PARTITION BY size, verb ORDER BY n DESC, f) AS kv, row_number() OVER (PARTITION BY size, noun ORDER BY n DESC, f) AS kn,
+upper(substr(word, 1, 1)) || substr(word, 2) AS title FROM c),
+x AS (SELECT size, max(title) FILTER (verb AND kv = 1) AS v, max(title) FILTER (noun AND kn = 1) AS n, max(title) FILTER (k = 1) AS a, max(title) FILTER (k = 2) AS b FROM r GROUP BY 1)
+SELECT t.size, coalesce(CASE WHEN v IS NOT NULL AND n IS NOT NULL THEN n || ' ' || v WHEN v IS NOT NULL THEN v || ' Process' WHEN n IS NOT NULL THEN n || ' Processing' ELSE concat_ws(' ', a, b) END, '') AS group_name
+FROM (SELECT DISTINCT size FROM t) t JOIN x USING (size) UNION ALL SELECT DISTINCT size, 'Group ' || (size + 1) FROM t WHERE size NOT IN (SELECT size FROM x)""",
+    "report_sizes": f"WITH {_PIPES}, c AS (SELECT string_split(line, '|') AS l FROM pipes), d AS (SELECT CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS cell_no, trim(unnest(l)) AS cell FROM c) SELECT cell_no, count(*) FILTER (cell <> '') AS filled, CAST(max(length(cell)) AS INTEGER) AS widest, round(least(greatest(max(length(cell)) * 1.2::DOUBLE, 10.0), 60.0)::DOUBLE, 6) AS width FROM d GROUP BY 1",
+    "binary_header": r"""WITH o AS (SELECT o_orderkey AS k, o_orderstatus AS status, c_mktsegment AS segment FROM orders JOIN customer ON o_custkey = c_custkey),
+c AS (SELECT k AS path, 0 AS pos, 'SOP No' AS label, CAST(k AS VARCHAR) AS value FROM o UNION ALL SELECT k, 2, ': ' || segment, 'Organisation' FROM o
+UNION ALL SELECT k, 3, 'sop no', 'again' FROM o WHERE k % 2 = 0 UNION ALL SELECT k, 7, 'Status', status FROM o UNION ALL SELECT k, 12, 'Late', 'one' FROM o UNION ALL SELECT k, 13, 'Title', 'two' FROM o WHERE k % 5 = 0),
+n AS (SELECT *, CASE WHEN pos - lag(pos) OVER w > 3 THEN 1 ELSE 0 END AS fresh FROM c WINDOW w AS (PARTITION BY path ORDER BY pos)),
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY path ORDER BY pos) AS g FROM n),
+s AS (SELECT path, g, count(*) AS n, sum(CASE WHEN regexp_matches(label, '(?i)organ|process map|sop no|sop number|sla|title') THEN 2 ELSE 0 END + 1) AS score FROM g GROUP BY ALL),
+b AS (SELECT path, g FROM s WHERE n >= 2 QUALIFY row_number() OVER (PARTITION BY path ORDER BY score DESC, g) = 1),
+x AS (SELECT g.* FROM g LEFT JOIN b USING (path) WHERE b.g IS NULL OR g.g = b.g)
+SELECT path, CAST(pos AS INTEGER) AS "at", label, value FROM x QUALIFY row_number() OVER (PARTITION BY path, lower(label) ORDER BY pos) = 1""",
     "synonyms": "SELECT p_partkey, 'review vendor ' || trim(lower(p_name)) AS words FROM part",
 }
