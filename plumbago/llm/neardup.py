@@ -67,11 +67,16 @@ def signatures(docs: DataFrame, n: int = N, bands: int = BANDS, rows: int = ROWS
 
 
 def _with_key(n: int):  # noqa: ANN202
+    """Puts the key of its text's set into each row that has none."""
+
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            grams, offsets = gram_sets(batch.column("text"), n)
-            keys = [xxhash.xxh3_128_digest(grams[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(keys, pa.binary())], ["class_id", "text", "set_key"])
+            keys = batch.column("set_key").to_pylist()
+            if missing := [k for k, own in enumerate(keys) if own is None]:
+                grams, offsets = gram_sets(batch.column("text").take(pa.array(missing)), n)
+                for k, at, end in zip(missing, offsets[:-1], offsets[1:], strict=True):
+                    keys[k] = xxhash.xxh3_128_digest(grams[at:end].tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), batch.column("text")], ["set_key", "text"])
 
     return key
 
@@ -238,16 +243,14 @@ def near_duplicates(docs: DataFrame, n: int = N, similarity: float = SIMILARITY,
     )
     schema = "gid long, band int, side int, diagonal int, set_key binary, class_id long, copies long, bands array<long>"
     needed = written(members.repartition(partitions(spark), "gid").sortWithinPartitions("gid").transform(in_batches, _needed, schema), "meetings")
-    # Each class that meets another brings one text. A null or repeated doc_id, which may stand for several classes, is joined by
-    # its set's key, so that its rows meet their own class only.
+    # Each class that meets another brings one text. A null or repeated doc_id may stand for several classes: the keys of its rows are
+    # computed again, so that they meet their own class only. All texts are shuffled once, those of meeting classes once more.
     meeting = needed.select("set_key", "class_id").distinct()
-    shared = written(signed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("class_id")), "shared")
-    texts = docs.select(F.col("doc_id").alias("class_id"), "text")
-    same_id = lambda left, right: left.alias("l").join(right.alias("r"), F.col("l.class_id").eqNullSafe(F.col("r.class_id")), "left_semi")
-    alone = meeting.alias("m").join(shared.alias("s"), F.col("m.class_id").eqNullSafe(F.col("s.class_id")), "left_anti")
-    keyed = same_id(texts, shared).select(F.col("class_id").alias("doc_id"), "text").transform(in_batches, _with_key(n), "class_id long, text string, set_key binary")
-    plain = texts.alias("t").join(alone.alias("a"), F.col("t.class_id") == F.col("a.class_id")).select("a.set_key", "text")
-    brought = plain.union(keyed.join(same_id(meeting, shared).select("set_key"), "set_key", "left_semi").dropDuplicates(["set_key"]).select("set_key", "text"))
+    shared = signed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("shared_id"), F.lit(True).alias("shared"))
+    wanted = meeting.join(shared, F.col("class_id").eqNullSafe(F.col("shared_id")), "left")
+    wanted = wanted.select(F.col("class_id").alias("wanted_id"), F.when(F.col("shared").isNull(), F.col("set_key")).alias("set_key")).distinct()
+    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("set_key", "text")
+    brought = texts.transform(in_batches, _with_key(n), "set_key binary, text string").dropDuplicates(["set_key"])
     joined = needed.join(brought, "set_key")
     links = written(joined.repartition(partitions(spark), "gid").sortWithinPartitions("gid").transform(in_batches, _verified(n, similarity), "set_key binary, root binary, links long"), "links")
     labels = components(links)
@@ -271,7 +274,10 @@ def deduplicated(docs: DataFrame, **parameters) -> DataFrame:  # noqa: ANN003
     keepers = written(near_duplicates(docs, **parameters).where("keeper").select("doc_id", "set_key").distinct(), "keepers")
     doc_id, set_key = unused(docs, "keeper_id"), unused(docs, "keeper_key")
     keepers = keepers.toDF(doc_id, set_key)
-    chosen = docs.join(keepers.select(doc_id).distinct(), docs["doc_id"].eqNullSafe(F.col(doc_id)), "left_semi")
+    same = lambda name: docs["doc_id"].eqNullSafe(F.col(name))
+    repeated = docs.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(unused(docs, "repeated_id")))
+    single = docs.join(repeated, same(repeated.columns[0]), "left_anti").join(keepers, same(doc_id), "left_semi")
+    several = docs.join(repeated, same(repeated.columns[0]), "left_semi")
     own = unused(docs, "own_key")
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,5 +286,5 @@ def deduplicated(docs: DataFrame, **parameters) -> DataFrame:  # noqa: ANN003
             keys = [xxhash.xxh3_128_digest(grams[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*batch.schema.names, own])
 
-    one = chosen.transform(in_batches, keyed, extended(chosen, f"`{own}` binary")).dropDuplicates(["doc_id", own])
-    return one.join(keepers, F.col("doc_id").eqNullSafe(F.col(doc_id)) & (F.col(own) == F.col(set_key)), "left_semi").drop(own)
+    one = several.transform(in_batches, keyed, extended(several, f"`{own}` binary")).dropDuplicates(["doc_id", own])
+    return single.unionByName(one.join(keepers, F.col("doc_id").eqNullSafe(F.col(doc_id)) & (F.col(own) == F.col(set_key)), "left_semi").drop(own))
