@@ -5,6 +5,8 @@ OVERVIEW_HEADINGS = ("SOP Activities Overview", "Activities Overview", "Process
 DETAIL_HEADINGS = ("Detailed Process Steps", "Process Detail", "Process Steps", "Procedure")
 PERFORMANCE_KEYWORDS = ("process performance", "sla", "kpi")
 RISK_KEYWORDS = ("process risk",)
+RISK_TITLE = "PROCESS RISKS? AND MITIGATION"
+RISK_STOPS = "POLICIES|PROCESS PERFORMANCE|PROCESS CONTACT|RECORD RETENTION|APPENDIX"
 MIN_WORDS, TOP_STEPS, MAX_FEATURES = 20, 5, 5000
 EMBEDDING_THRESHOLD, TFIDF_THRESHOLD = 0.35, 0.12
 

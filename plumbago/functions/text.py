@@ -69,11 +69,11 @@ def is_section_heading(text: Column) -> Column:
 
 
 def urls(text: Column) -> Column:
-    """Field and bare links in first-seen order, without schema names."""
-    fields = F.regexp_extract_all(text, F.lit(r'HYPERLINK\s+"([^"]+)"'), 1)
-    bare = F.regexp_extract_all(text, F.lit(r'(https?://[^\s"<>\x00-\x1f]{1,})'), 1)
-    good = lambda u: u.startswith("http") & (F.length(u) >= 8) & ~reduce(lambda a, b: a | b, (u.startswith(p) for p in config.NAMESPACE_URLS))
-    return F.array_distinct(F.filter(F.concat(fields, bare), good))
+    """Links of fields, then those in the text that follow no quote or word, each once in first-seen order; no schema names."""
+    fields = F.regexp_extract_all(text, F.lit(r'(?i)\x13[^\x14\x15]*?HYPERLINK\s+"?(https?://[^"\s\x13\x14\x15\x07\r]+)'), 1)
+    bare = F.regexp_extract_all(text, F.lit(r'(?<!["\w])(https?://[^\s\x07\x13\x14\x15\r"]{8,})'), 1)
+    good = lambda u: u.startswith("http") & ~reduce(lambda a, b: a | b, (u.startswith(p) for p in config.NAMESPACE_URLS))
+    return F.array_distinct(F.filter(F.transform(F.concat(fields, bare), lambda u: F.regexp_replace(u, "\"*'*$", "")), good))
 
 
 def object_type(program: Column, extension: Column) -> Column:

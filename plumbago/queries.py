@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from plumbago import config
+from plumbago import config, document_queries
 from plumbago.functions import text as T
 from plumbago.operators import ordered, similarity, tables
 from plumbago.plans import binary, grouping
@@ -227,7 +227,7 @@ QUERIES = {f.__name__: f for f in (
     word_hits, word_not_found, word_summary, distinct_blocks, section_carry, nth_section, asof_heading, next_with_barrier, positional_zip, gap_groups, gap_best_group, autonumber,
     pipe_cells, tables_by_header, label_value, placeholder_vote, outcome_summary, prefer_ext, page_links, no_link_fill, url_ext_type, codes, numbered_steps, word_freq_name,
     tfidf_topk, cosine_topk, cluster_docs, fan_out, synonyms, step_matches, group_names, group_documents, report_sizes, binary_header,
-)}
+)} | document_queries.QUERIES
 
 _LINES = "lines AS (SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS line_no, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL))"
 _PIPES = _LINES + ", pipes AS (SELECT * FROM (SELECT *, sum(CASE WHEN contains(line, '|') THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY line_no) AS table_idx FROM lines) WHERE contains(line, '|'))"
@@ -312,4 +312,4 @@ b AS (SELECT path, g FROM s WHERE n >= 2 QUALIFY row_number() OVER (PARTITION BY
 x AS (SELECT g.* FROM g LEFT JOIN b USING (path) WHERE b.g IS NULL OR g.g = b.g)
 SELECT path, CAST(pos AS INTEGER) AS "at", label, value FROM x QUALIFY row_number() OVER (PARTITION BY path, lower(label) ORDER BY pos) = 1""",
     "synonyms": "SELECT p_partkey, 'review vendor ' || trim(lower(p_name)) AS words FROM part",
-}
+} | document_queries.ORACLE_SQL
