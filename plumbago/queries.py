@@ -8,8 +8,14 @@ from plumbago import config, document_queries
 from plumbago.functions import text as T
 from plumbago.operators import ordered, similarity, tables
 from plumbago.plans import binary, grouping
+from plumbago.sources import files
 
 WORDS = ["thereof", "the", "and"]
+PROGRAMS = ("", "Excel.Sheet.12", "AcroExch.Document", "Word.Document.8", "Visio.Drawing", "PowerPoint.Show", "Package", "Paint")
+CODE_TEXTS = (
+    "use T-code: ZT# now", "Run ZT# SAP", "Run SAP tcode ZT#", "a transaction ZT# or so", "OPEN TRANSACTION zt-#", "report s_alr_87# and S_ALR_87#", "go to the transaction zt#",
+    "Go to T_CODE_ZT# in SAP, then transaction NOTE", "T-codes (ZB#) and transaction ZA#", "no code at all",
+)
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,8 +48,11 @@ def section_carry(spark, sf_dir):
 
 
 def nth_section(spark, sf_dir):
+    """The lines from a document's third long one on, before its fourth, under the third one's text."""
     lines = tables.lines_of(_t(spark, sf_dir, "documents"))
-    return ordered.nth_section(lines, ["doc_id"], ["line_no"], F.lit(True), 16).select("doc_id", F.concat(F.lit("16\t"), "line").alias("section"))
+    found = ordered.nth_section(lines, ["doc_id"], ["line_no"], F.length("line") > 100, 3)
+    head = F.first("line").over(Window.partitionBy("doc_id").orderBy("line_no"))
+    return found.select("doc_id", "line_no", F.concat(F.lit("3\t"), F.substring(head, 1, 60)).alias("section"))
 
 
 def asof_heading(spark, sf_dir):
@@ -98,8 +107,11 @@ def label_value(spark, sf_dir):
 
 
 def placeholder_vote(spark, sf_dir):
-    pairs = tables.lines_of(_t(spark, sf_dir, "documents")).select("doc_id", "line_no", F.col("line").alias("value"))
-    return tables.vote_out(pairs, ["doc_id"], "value", F.length("value") < 40).select("doc_id", "line_no", F.length("value").cast("long").alias("n"))
+    """A customer's orders as header values: hints, blanks and other placeholders, and real ones."""
+    k = F.pmod("o_orderkey", F.lit(11))
+    value = F.when(k == 0, "TBD").when(k == 1, " (Insert the name) ").when(k == 2, " ").when(k == 3, "Enter name here").when(k == 4, "SOP  Reference No and name").when(k == 5, "(of the second kind)")
+    pairs = _t(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", value.otherwise(F.col("o_orderpriority")).alias("value"))
+    return tables.vote_out(pairs, ["o_custkey"])
 
 
 def outcome_summary(spark, sf_dir):
@@ -109,8 +121,12 @@ def outcome_summary(spark, sf_dir):
 
 
 def prefer_ext(spark, sf_dir):
-    pages = _t(spark, sf_dir, "pages").withColumn("stem", F.lower(F.regexp_replace(F.split("url", r"[?#]")[0], r"\.[A-Za-z0-9]+$", ""))).withColumn("ext", T.extension(F.col("url")))
-    return ordered.first_of(pages, ["stem"], [(F.col("ext") == ".html").desc(), "url", "page_id"]).select("page_id", "stem")
+    """Customers as files: folders by nation, stems in several cases, some of them locks or other files."""
+    k = F.col("c_custkey")
+    stem = F.concat(F.when(k % 7 == 0, "~$").otherwise(""), F.when(k % 2 == 0, F.col("c_mktsegment")).otherwise(F.initcap("c_mktsegment")), F.pmod(F.floor(k / 10), F.lit(9)).cast("string"))
+    extension = F.element_at(F.array(*map(F.lit, (".doc", ".docx", ".DOC", ".txt"))), (k % 4 + 1).cast("int"))
+    listing = files.described(_t(spark, sf_dir, "customer").select(F.concat(F.lit("in/"), F.col("c_nationkey"), F.lit("/"), stem, extension).alias("path")))
+    return files.prefer_docx(listing.where(files.is_office()))
 
 
 def _links(spark, sf_dir):
@@ -120,7 +136,9 @@ def _links(spark, sf_dir):
 
 
 def page_links(spark, sf_dir):
-    return _links(spark, sf_dir).select("page_id", "link").distinct()
+    """The links of pages as fields, and those in their text."""
+    fields = F.regexp_replace("html", 'href="([^"]*)"', '\x13 HYPERLINK "$1"\x14link\x15')
+    return _t(spark, sf_dir, "pages").select("page_id", F.explode(T.urls(fields)).alias("link"))
 
 
 def no_link_fill(spark, sf_dir):
@@ -129,12 +147,15 @@ def no_link_fill(spark, sf_dir):
 
 
 def url_ext_type(spark, sf_dir):
-    return _t(spark, sf_dir, "pages").select("page_id", T.extension(F.col("url")).alias("ext")).select("page_id", "ext", T.object_type(F.lit(""), F.col("ext")).alias("kind"))
+    program = F.element_at(F.array(*map(F.lit, PROGRAMS)), (F.pmod("page_id", F.lit(len(PROGRAMS))) + 1).cast("int"))
+    return _t(spark, sf_dir, "pages").select("page_id", T.extension(F.col("url")).alias("ext"), program.alias("program")).withColumn("kind", T.object_type(F.col("program"), F.col("ext")))
 
 
 def codes(spark, sf_dir):
-    found = T.codes(F.concat(F.lit("Go to "), F.replace("p_brand", F.lit("#"), F.lit("_")), F.lit(" in SAP, transaction "), F.upper("p_type")))
-    return _t(spark, sf_dir, "part").select("p_partkey", F.array_join(found, ",").alias("codes"))
+    """Each way in which a text names a transaction, and words there that are none."""
+    k = F.col("p_partkey").cast("string")
+    text = F.element_at(F.array(*(F.replace(F.lit(t), F.lit("#"), k) for t in CODE_TEXTS)), (F.pmod("p_partkey", F.lit(len(CODE_TEXTS))) + 1).cast("int"))
+    return _t(spark, sf_dir, "part").select("p_partkey", F.array_join(T.codes(text), ",").alias("codes"))
 
 
 def numbered_steps(spark, sf_dir):
@@ -162,7 +183,7 @@ def cosine_topk(spark, sf_dir):
     v = _t(spark, sf_dir, "embeddings").where("vec_id is not null and embedding is not null")
     a, b = v.where("vec_id % 100 = 0").select("vec_id", "label", "embedding"), v.select(F.col("vec_id").alias("other_id"), "label", F.col("embedding").alias("other"))
     pairs = a.join(b, "label").where("vec_id <> other_id").withColumn("sim", F.round(similarity.cosine(F.col("embedding"), F.col("other")), 6))
-    return similarity.best_matches(pairs, "vec_id", "other_id", 0.35).select("vec_id", "other_id", "rank")
+    return similarity.best_matches(pairs, "vec_id", "other_id", 0.0).select("vec_id", "other_id", "rank")
 
 
 def cluster_docs(spark, sf_dir):
@@ -220,7 +241,7 @@ def fan_out(spark, sf_dir):
 
 
 def synonyms(spark, sf_dir):
-    return _t(spark, sf_dir, "part").select("p_partkey", T.expand_synonyms(F.concat_ws(" ", F.lit("Check supplier"), "p_name")).alias("words"))
+    return _t(spark, sf_dir, "part").select("p_partkey", T.expand_synonyms(F.concat_ws(" ", F.lit("  ".join(config.SYNONYMS).upper()), "p_name")).alias("words"))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -242,7 +263,8 @@ ORACLE_SQL = {
     "word_summary": r"SELECT count(*) AS scanned, count(*) FILTER (h) AS found, count(*) FILTER (NOT h) AS not_found FROM (SELECT regexp_matches(coalesce(text, ''), '(?i)\b(the|and)\b') AS h FROM documents)",
     "distinct_blocks": f"WITH {_LINES} SELECT doc_id, trim(line) AS line, min(line_no) AS line_no FROM lines WHERE trim(line) <> '' GROUP BY doc_id, trim(line)",
     "section_carry": f"WITH {_LINES}, s AS (SELECT doc_id, line_no, last_value(CASE WHEN regexp_matches(line, '^[A-Z]{{4,}}') THEN substr(line, 1, 60) END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section FROM lines) SELECT * FROM s WHERE section <> ''",
-    "nth_section": f"WITH {_LINES} SELECT doc_id, '16' || chr(9) || line AS section FROM lines WHERE line_no = 15",
+    "nth_section": f"""WITH {_LINES}, n AS (SELECT *, sum(CASE WHEN length(line) > 100 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line_no) AS n FROM lines)
+SELECT doc_id, line_no, '3' || chr(9) || substr(first_value(line) OVER (PARTITION BY doc_id ORDER BY line_no), 1, 60) AS section FROM n WHERE n = 3""",
     "asof_heading": "SELECT v.event_id, s.signup_id FROM (SELECT * FROM events WHERE event_type = 'view') v ASOF JOIN (SELECT user_id, ts, max(event_id) AS signup_id FROM events WHERE event_type = 'signup' GROUP BY ALL) s ON v.user_id = s.user_id AND v.ts > s.ts",
     "next_with_barrier": """WITH n AS (SELECT *, first_value(CASE WHEN event_type IN ('purchase', 'error') THEN struct_pack(kind := event_type, id := event_id) END IGNORE NULLS)
 OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nx FROM events)
@@ -260,16 +282,22 @@ SELECT g.user_id, g.event_id FROM g LEFT JOIN b USING (user_id) WHERE b.gap_grou
 q AS (SELECT *, p[1] AS lp FROM p)
 SELECT conv_id, turn, CASE WHEN len(p) = 1 THEN trim(string_split(lp, ':')[1]) ELSE lp END AS label,
 CASE WHEN len(p) = 1 THEN trim(substr(lp, strpos(lp, ':') + 1)) ELSE trim(array_to_string(list_filter(p, lambda x: x <> lp), ' ')) END AS value FROM q""",
-    "placeholder_vote": f"""WITH {_LINES}, v AS (SELECT *, sum(CASE WHEN trim(line) <> '' THEN 1 ELSE 0 END) OVER w AS n, sum(CASE WHEN trim(line) <> '' AND length(line) < 40 THEN 1 ELSE 0 END) OVER w AS bad FROM lines WINDOW w AS (PARTITION BY doc_id))
-SELECT doc_id, line_no, CASE WHEN length(line) < 40 THEN 0 ELSE length(line) END AS n FROM v WHERE NOT (n > 0 AND bad * 2 >= n)""",
+    "placeholder_vote": """WITH p AS (SELECT o_custkey, o_orderkey, o_orderkey % 11 AS r, o_orderpriority FROM orders),
+v AS (SELECT *, count(*) FILTER (r <> 2) OVER w AS n, count(*) FILTER (r IN (0, 1, 3, 4)) OVER w AS bad FROM p WINDOW w AS (PARTITION BY o_custkey))
+SELECT o_custkey, o_orderkey, CASE WHEN r < 5 THEN '' WHEN r = 5 THEN '(of the second kind)' ELSE o_orderpriority END AS value FROM v WHERE NOT (n > 0 AND bad * 2 >= n)""",
     "outcome_summary": """WITH o AS (SELECT CASE WHEN quality IS NULL THEN 'skipped' WHEN quality = 0 THEN 'failed' ELSE 'block' END AS outcome, count(DISTINCT doc_id) AS n FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1)
 SELECT outcome, n FROM o UNION ALL SELECT 'Total', CAST(coalesce(sum(n), 0) AS BIGINT) FROM o""",
-    "prefer_ext": f"WITH p AS (SELECT page_id, url, lower(regexp_replace(regexp_extract(url, '^([^?#]*)', 1), '\\.[A-Za-z0-9]+$', '')) AS stem, {_EXT} AS ext FROM pages) SELECT page_id, stem FROM p QUALIFY row_number() OVER (PARTITION BY stem ORDER BY (ext = '.html') DESC, url, page_id) = 1",
-    "page_links": f"WITH {_HREFS} SELECT page_id, link FROM links",
+    "prefer_ext": """WITH f AS (SELECT c_nationkey AS n, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment ELSE upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) END || (c_custkey // 10 % 9) AS stem,
+['.doc', '.docx', '.DOC'][c_custkey % 4 + 1] AS ext FROM customer WHERE c_custkey % 7 <> 0 AND c_custkey % 4 <> 3)
+SELECT arg_max('in/' || n || '/' || stem || ext, {'a': ext = '.docx', 'b': 'in/' || n || '/' || stem || ext}) AS path FROM f GROUP BY n, lower(stem)""",
+    "page_links": r"""WITH f AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="(https?://[^"\s]+)', 1)) AS link FROM pages
+UNION ALL SELECT page_id, unnest(regexp_extract_all(html, '(?:^|[^"\w])(https?://[^\s"]{8,})', 1)) FROM pages)
+SELECT DISTINCT page_id, link FROM f WHERE NOT regexp_matches(link, '^(https?://schemas\.|http://www\.w3\.|http://purl\.|http://dublincore\.org/schemas)')""",
     "no_link_fill": f"WITH {_HREFS} SELECT page_id, coalesce(min(link), 'No Hyperlink found') AS link FROM pages LEFT JOIN links USING (page_id) GROUP BY page_id",
-    "url_ext_type": f"""SELECT page_id, ext, CASE WHEN ext IN ('.xlsx', '.xls', '.xlsm') THEN 'Excel' WHEN ext = '.pdf' THEN 'PDF' WHEN ext IN ('.docx', '.doc') THEN 'Word' WHEN ext = '.msg' THEN 'MSG'
-WHEN ext IN ('.vsd', '.vsdx') THEN 'VSD' WHEN ext IN ('.pptx', '.ppt') THEN 'PPTX' WHEN ext = '' THEN 'Object' ELSE upper(substr(ext, 2)) END AS kind FROM (SELECT page_id, {_EXT} AS ext FROM pages)""",
-    "codes": r"SELECT p_partkey, array_to_string(list_sort(list_distinct([upper(replace(p_brand, '#', '_')), regexp_extract(upper(p_type), '^([A-Z][A-Z0-9_\-]{1,29})\b', 1)])), ',') AS codes FROM part",
+    "url_ext_type": f"""WITH e AS (SELECT page_id, {_EXT} AS ext, {list(PROGRAMS)}[page_id % {len(PROGRAMS)} + 1] AS program FROM pages)
+SELECT page_id, ext, program, CASE WHEN program LIKE 'Excel%' OR ext IN ('.xlsx', '.xls', '.xlsm') THEN 'Excel' WHEN program LIKE 'Acro%' OR ext = '.pdf' THEN 'PDF' WHEN program LIKE 'Word%' OR ext IN ('.docx', '.doc') THEN 'Word'
+WHEN program = 'Package' OR ext = '.msg' THEN 'MSG' WHEN program LIKE 'Visio%' OR ext IN ('.vsd', '.vsdx') THEN 'VSD' WHEN program LIKE 'Power%' OR ext IN ('.pptx', '.ppt') THEN 'PPTX' WHEN ext = '' THEN 'Object' ELSE upper(substr(ext, 2)) END AS kind FROM e""",
+    "codes": """SELECT p_partkey, replace(['ZT#', 'ZT#', 'ZT#', 'ZT#', 'ZT_#', 'S_ALR_87#', 'ZT#', 'ZT#', 'ZA#,ZB#', ''][p_partkey % 10 + 1], '#', CAST(p_partkey AS VARCHAR)) AS codes FROM part""",
     "numbered_steps": r"SELECT o_orderkey, trim(regexp_replace(o_orderpriority, '^[\d.]+[-\s]+', '')) AS step FROM orders WHERE regexp_matches(o_orderpriority, '^\d')",
     "tfidf_topk": r"""WITH t AS (SELECT item_id AS doc_id, unnest(regexp_extract_all(lower(text), '([a-z]{2,})', 1)) AS term FROM benchmark), c AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
 n AS (SELECT count(DISTINCT doc_id) AS n FROM t), d AS (SELECT term, count(*) AS df, sum(tf) AS total FROM c GROUP BY 1 ORDER BY total DESC, term LIMIT 5000),
@@ -277,7 +305,7 @@ w AS (SELECT doc_id, term, (1 + ln(tf)) * (ln((1 + n) / (1 + df)) + 1) AS w FROM
 p AS (SELECT a.doc_id, b.doc_id AS other_id, round(sum(a.w * b.w), 6) AS sim FROM u a JOIN u b ON a.term = b.term AND a.doc_id <> b.doc_id GROUP BY 1, 2)
 SELECT doc_id, other_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY sim DESC, other_id) AS INTEGER) AS rank, sim FROM p WHERE sim >= 0.12 QUALIFY rank <= 5""",
     "cosine_topk": """WITH p AS (SELECT a.vec_id, b.vec_id AS other_id, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS sim FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id)
-SELECT vec_id, other_id, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, other_id) AS INTEGER) AS rank FROM p WHERE sim >= 0.35 QUALIFY rank <= 5""",
+SELECT vec_id, other_id, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, other_id) AS INTEGER) AS rank FROM p WHERE sim >= 0 QUALIFY rank <= 5""",
     "fan_out": """WITH s AS (SELECT l_orderkey, list_sort(list(DISTINCT l_returnflag)) AS s FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1), u AS (SELECT l_orderkey, len(s) AS n, generate_subscripts(s, 1) AS k, unnest(s) AS slot_value FROM s)
 SELECT l_orderkey, CASE WHEN n > 1 THEN 'Flag ' || k ELSE 'Flag' END AS slot_header, slot_value FROM u""",
     "step_matches": r"""WITH s AS (SELECT p_brand || ' ' || p_size AS path, p_partkey AS step_no, lower('verify ' || p_name || ' ' || p_type) AS step FROM part),
@@ -311,5 +339,5 @@ s AS (SELECT path, g, count(*) AS n, sum(CASE WHEN regexp_matches(label, '(?i)or
 b AS (SELECT path, g FROM s WHERE n >= 2 QUALIFY row_number() OVER (PARTITION BY path ORDER BY score DESC, g) = 1),
 x AS (SELECT g.* FROM g LEFT JOIN b USING (path) WHERE b.g IS NULL OR g.g = b.g)
 SELECT path, CAST(pos AS INTEGER) AS "at", label, value FROM x QUALIFY row_number() OVER (PARTITION BY path, lower(label) ORDER BY pos) = 1""",
-    "synonyms": "SELECT p_partkey, 'review vendor ' || trim(lower(p_name)) AS words FROM part",
+    "synonyms": f"SELECT p_partkey, '{' '.join(config.SYNONYMS.values())} ' || trim(lower(p_name)) AS words FROM part",
 } | document_queries.ORACLE_SQL
