@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from plumbago.plans import binary_links, binary_objects, binary_risks
+from plumbago.functions import text as T
+from plumbago.plans import binary_links, binary_objects, binary_risks, reports
 
 
 def _orders(spark, sf_dir: str) -> DataFrame:
@@ -67,19 +68,43 @@ def binary_object_inventory(spark, sf_dir):
     return binary_objects.inventory(payloads, texts)
 
 
-QUERIES = {f.__name__: f for f in (binary_links_of, binary_risks_of, binary_object_contexts, binary_object_inventory)}
+def word_report(spark, sf_dir):
+    """The report of a word search over all documents, as (part, path, nth, cells)."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").cast("string").alias("path"), T.word_hits(F.coalesce("text", F.lit("")), ["thereof", "company"]).alias("words"))
+    hits = docs.select("path", F.explode(F.array_distinct(F.transform("words", F.lower))).alias("word"))
+    found = reports.words(hits, docs.where(F.size("words") == 0).select("path").distinct())
+    return found.select("place.part", "place.path", "place.nth", F.array_join("cells", "|", "").alias("cells"))
+
+
+def header_report(spark, sf_dir):
+    """The report of header fields: a customer is a file, its urgent orders are its pairs, in two rows as wide as the most of them."""
+    files = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey"), F.concat(F.lit("in/n"), "c_nationkey", F.lit("/c"), "c_custkey", F.lit(".doc")).alias("path"))
+    urgent = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderkey").alias("at"), F.col("o_orderkey").cast("string").alias("label"), F.col("o_orderstatus").alias("value"))
+    rows = reports.header_fields(files.join(urgent, "c_custkey").drop("c_custkey"), files, ["at"])
+    return rows.select("place.path", "place.line", F.size("cells").alias("n_cells"), F.array_join("cells", "|", "-").alias("cells"))
+
+
+def link_report(spark, sf_dir):
+    """The report of the links of binary_links_of: names on each file's first row alone."""
+    rows = binary_links_of(spark, sf_dir).withColumn("path", F.concat(F.lit("in/"), F.col("path").cast("string"), F.lit(".doc")))
+    return reports.links(rows, ["at"]).select("place.path", "place.nth", F.array_join("cells", "|", "-").alias("cells"))
+
+
+QUERIES = {f.__name__: f for f in (binary_links_of, binary_risks_of, binary_object_contexts, binary_object_inventory, word_report, header_report, link_report)}
 
 _O = "o AS (SELECT o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS s, o_orderstatus AS status FROM orders)"
 
-ORACLE_SQL = {
-    "binary_links_of": f"""WITH {_O}, r AS (
+_LINKS = f"""WITH {_O}, r AS (
 SELECT k, '1. OVERVIEW AND SCOPE' AS section, 'Outside Table' AS table_flag, '' AS row_label, '' AS row_label_col, '' AS url_col, 'https://a.example/' || s AS url, 1 AS "at" FROM o
 UNION ALL SELECT k, '1. OVERVIEW AND SCOPE', 'Within Table', 'First', 'Name', 'Link', 'https://b.example/page/' || s, 2 FROM o
 UNION ALL SELECT k, '1. OVERVIEW AND SCOPE', 'Within Table', 'Second', 'Name', '', 'https://c.example/page/' || s, 2 FROM o
 UNION ALL SELECT k, '1. OVERVIEW AND SCOPE', 'Within Table', 'Open row', 'Name', 'Link', 'https://d.example/page/' || status, 4 FROM o
 UNION ALL SELECT k, '1. OVERVIEW AND SCOPE', 'Within Table', 'Open row', 'Name', 'Link', 'https://e.example/page/' || s, 4 FROM o
 UNION ALL SELECT k, CASE WHEN k % 2 = 0 THEN 'DETAILS (MORE)' ELSE '1. OVERVIEW AND SCOPE' END, 'Within Table', 'A', '', '', 'https://f.example/page/' || s, 8 FROM o)
-SELECT k AS path, section, table_flag, row_label, row_label_col, url_col, url, CAST("at" AS INTEGER) AS "at" FROM r""",
+SELECT k AS path, section, table_flag, row_label, row_label_col, url_col, url, CAST("at" AS INTEGER) AS "at" FROM r"""
+
+ORACLE_SQL = {
+    "binary_links_of": _LINKS,
     "binary_risks_of": f"""WITH {_O}, r AS (SELECT k, CAST(2 + k % 2 AS INTEGER) AS row_no, 'R' || s || '|late ' || status || '|' AS cells FROM o
 UNION ALL SELECT k, CAST(4 + k % 2 AS INTEGER), 'R2|a|b' FROM o)
 SELECT k AS path, row_no, 'Ref|Risk|Mitigation' AS headers, cells FROM r""",
@@ -93,4 +118,15 @@ CASE r WHEN 2 THEN 'Excel' WHEN 3 THEN 'PDF' WHEN 5 THEN 'BMP' ELSE 'Object' END
 n AS (SELECT *, CAST(row_number() OVER (PARTITION BY d ORDER BY k) AS INTEGER) AS object_no FROM f)
 SELECT 'in/doc' || d || '.doc' AS path, object_no, object_file, type, CASE WHEN object_no = 1 AND d % 3 <> 0 THEN 'DETAILS AND MORE' ELSE 'DOCUMENT' END AS section,
 CASE WHEN object_no = 1 AND d % 3 <> 0 THEN 'A step here' ELSE '' END AS row_label, '' AS row_label_col, '' AS object_col FROM n""",
+    "word_report": r"""WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS path, list_distinct(list_transform(regexp_extract_all(regexp_replace(coalesce(text, ''), '[^\x00-\x7F]', ' ', 'g'), '(?i)\b(thereof|company)\b', 1), lambda w: lower(w))) AS w FROM documents),
+h AS (SELECT DISTINCT path, unnest(w) AS word FROM d), n AS (SELECT *, CAST(row_number() OVER (PARTITION BY path ORDER BY word) - 1 AS INTEGER) AS nth FROM h)
+SELECT 0 AS part, path, nth, CASE WHEN nth = 0 THEN path ELSE '' END || '|' || word AS cells FROM n
+UNION ALL SELECT 1, '', 0, 'Documents with no matches' WHERE EXISTS (SELECT 1 FROM d WHERE len(w) = 0)
+UNION ALL SELECT DISTINCT 2, path, 0, path || '|—' FROM d WHERE len(w) = 0""",
+    "header_report": """WITH p AS (SELECT o_custkey AS k, list(CAST(o_orderkey AS VARCHAR) ORDER BY o_orderkey) AS l, list(o_orderstatus ORDER BY o_orderkey) AS v FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1),
+m AS (SELECT max(len(l)) AS most FROM p), f AS (SELECT 'n' || c_nationkey AS folder, 'c' || c_custkey || '.doc' AS name, coalesce(l, []) AS l, coalesce(v, []) AS v, most FROM customer LEFT JOIN p ON c_custkey = k, m)
+SELECT 'in/' || folder || '/' || name AS path, 0 AS line, CAST(most + 2 AS INTEGER) AS n_cells, array_to_string([folder, name] || l, '|') || repeat('|', most - len(l)) AS cells FROM f
+UNION ALL SELECT 'in/' || folder || '/' || name, 1, CAST(most + 2 AS INTEGER), array_to_string(['-', '-'] || v, '|') || repeat('|', most - len(v)) FROM f""",
+    "link_report": f"""WITH l AS ({_LINKS}), n AS (SELECT *, CAST(row_number() OVER (PARTITION BY path ORDER BY "at", url) - 1 AS INTEGER) AS nth FROM l)
+SELECT 'in/' || path || '.doc' AS path, nth, CASE WHEN nth = 0 THEN 'in|' || path || '.doc' ELSE '-|-' END || '|' || section || '|' || table_flag || '|' || row_label || '|' || row_label_col || '|' || url_col || '|' || url || '|' || path || '.doc|in' AS cells FROM n""",
 }

@@ -71,3 +71,8 @@ def write_report(path: str, reports: dict[str, DataFrame]) -> list[str]:
     """One sheet for each DataFrame, in its order. Rows come to the driver one partition at a time; lists are joined by lines."""
     flat = lambda v: "\n".join(map(str, v)) if isinstance(v, list) else v
     return write(path, ((name, df.columns, ([flat(v) for v in row] for row in df.toLocalIterator())) for name, df in reports.items()))
+
+
+def write_layouts(path: str, sheets: dict[str, tuple[list[str], DataFrame]]) -> list[str]:
+    """One sheet for each header and layout of plans.reports, in the order of its places. Rows come to the driver one partition at a time."""
+    return write(path, ((name, header, (row.cells for row in df.orderBy("place").select("cells").toLocalIterator())) for name, (header, df) in sheets.items()))
