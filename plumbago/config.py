@@ -73,5 +73,7 @@ OBJECT_TYPES = (
 LABELLED = r"^\*{0,2}((?:\S+ ?){1,6}?)\*{0,2}\s*:\s+\S"
 HEADING_STYLES = ("heading", "title", "toc")
 STEP_COLUMNS = ("step", "activity", "description", "process")
+OVERVIEW_COLUMNS, DETAIL_COLUMNS = ("description", "activity", "process"), ("description", "detail", "instruction", "work")
+SOURCES = ("SOP Activities Overview", "Detailed Process Steps", "Activities Overview + Detailed Steps", "Paragraph steps (fallback)")
 NUMBER_FORMATS = ("decimal", "ordinal")
 NO_SECTION, NO_TABLE, NO_LINK, BAD_TABLE, NO_RISK = "Section {} Not Found", "Table Not Found", "No Hyperlink found", "Table Structure Not Correct", "Process Risk Section Not Found"

@@ -90,7 +90,7 @@ def contexts(texts: DataFrame, back: int = 2000, on: int = 200, most: int = 100)
     label = F.coalesce(F.get("values", F.col("label_at")), F.get(F.filter("prose", lambda t: t.rlike(r"^\d")), F.lit(0)), F.get("prose", F.lit(0)))
     blank = lambda c, name: F.coalesce(c, F.lit("")).alias(name)
     around = w.select("path", "marker_no", "pos", blank(F.substring(label, 1, most), "row_label"), blank(F.col("label_col"), "row_label_col"), "object_col")
-    return ordered.asof_before(around, headings(texts), ["path"], "pos", "section").fillna(WHOLE, ["section"]).drop("pos")
+    return ordered.asof_before(around, headings(texts), ["path"], "pos", "section").fillna(WHOLE, ["section"]).select("path", "marker_no", "section", "row_label", "row_label_col", "object_col")
 
 
 def is_document(content: Column, extension: Column, program: Column, least: int = 64) -> Column:

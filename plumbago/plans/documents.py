@@ -81,15 +81,29 @@ def tables_by_header(section: DataFrame) -> DataFrame:
     return each.groupBy("header_key").agg(F.count(F.lit(1)).alias("n_tables"), F.sum("n_rows").alias("n_rows"))
 
 
-def sections(paragraphs: DataFrame) -> DataFrame:
-    """blocks with section: the nearest heading, with its automatic number where its text has none of its own."""
+def sections(paragraphs: DataFrame, labels: bool = False) -> DataFrame:
+    """blocks with section: the nearest heading, with its automatic number where its text has none of its own.
+
+    labels: before the first heading, a table's section is the last paragraph with text before it, and a short bold
+    paragraph right before a table is the section from there on.
+    """
     b = blocks(paragraphs).withColumn("heading", _styled())
     numbered = F.col("heading") & F.col("num_id").isNotNull() & F.col("number_format").isin(*config.NUMBER_FORMATS)
     order = Window.partitionBy("path", "num_id", "level").orderBy("block_no").rowsBetween(Window.unboundedPreceding, 0)
     number = F.sum(numbered.cast("int")).over(order) - 1 + F.col("number_start")
     name = T.strip(F.col("text"))
     label = F.when(numbered & ~name.rlike(r"^\d"), F.concat_ws(" ", number.cast("string"), name)).otherwise(name)
-    return ordered.carry_section(b.withColumn("label", label), ["path"], ["block_no"], F.col("heading"), F.col("label"))
+    b = b.withColumn("label", label)
+    if labels:
+        filled = F.coalesce(name != "", F.lit(False))
+        b = b.withColumn("_early", F.max(F.col("heading").cast("int")).over(_upto()) == 0).withColumn("_last", F.last(F.when(filled, name), True).over(_upto()))
+        following = Window.partitionBy("path").orderBy("block_no").rowsBetween(1, Window.unboundedFollowing)
+        before_table = F.first(F.when(filled | (F.col("kind") == "tbl"), F.col("kind")), True).over(following) == "tbl"
+        short = filled & F.col("any_bold") & F.length(name).between(4, 79) & ~name.startswith("http")
+        own = F.when(F.col("_early") & (F.col("kind") == "tbl"), F.col("_last")).when(F.col("_early") & short & before_table, name)
+        b = b.withColumn("_own", own)
+        b = b.withColumn("label", F.when(F.col("heading"), F.col("label")).otherwise(F.col("_own"))).withColumn("heading", F.col("heading") | F.col("_own").isNotNull())
+    return ordered.carry_section(b, ["path"], ["block_no"], F.col("heading"), F.col("label"))
 
 
 def _header_cells(table_cells: DataFrame, whole: bool) -> DataFrame:
@@ -101,12 +115,22 @@ def _header_cells(table_cells: DataFrame, whole: bool) -> DataFrame:
     return first.join(heads, ["path", "block_no"]).select("path", "block_no", "cell_no", F.col("text").alias("column_name"))
 
 
+def _borrowed_headers(paragraphs: DataFrame, heads: DataFrame) -> DataFrame:
+    """heads, and for a table without its own those of the table before it, if no paragraph with text stands between."""
+    filled = (F.col("kind") == "tbl") | (T.strip(F.col("text")) != "")
+    before = F.last(F.when(filled, F.struct("kind", "block_no")), True).over(_upto(last=-1))
+    pairs = blocks(paragraphs).withColumn("_b", before).where("kind = 'tbl' and _b.kind = 'tbl'").select("path", "block_no", F.col("_b.block_no").alias("head_no"))
+    without = pairs.join(heads.select("path", "block_no").distinct(), ["path", "block_no"], "left_anti")
+    lent = heads.withColumnRenamed("block_no", "head_no").join(without, ["path", "head_no"])
+    return heads.unionByName(lent.select("path", "block_no", "cell_no", "column_name"))
+
+
 def link_inventory(paragraphs: DataFrame) -> DataFrame:
     """One row for each link: path, section, table_flag, row_label, row_label_col, url_col, url and its place; one that says so for an open file without links."""
-    where = sections(paragraphs).select("path", "block_no", "section")
+    where = sections(paragraphs, labels=True).select("path", "block_no", "section")
     found = cells(paragraphs).where(F.col("part") == BODY)
     linked = found.where(F.size("links") > 0).withColumn("table_flag", F.lit("Within Table"))
-    heads = _header_cells(found, True)
+    heads = _borrowed_headers(paragraphs, _header_cells(found, True))
     labels = found.where("cell_no = 0").select("path", "block_no", "row_no", F.col("text").alias("row_label"))
     inside = (
         linked.join(labels, ["path", "block_no", "row_no"], "left").join(heads, ["path", "block_no", "cell_no"], "left")
@@ -213,6 +237,53 @@ def steps(paragraphs: DataFrame, headings: tuple[str, ...] = config.OVERVIEW_HEA
     return picked.where(F.size(F.split("step", r"\s+")).between(least, most))
 
 
+def _step_heading() -> Column:
+    """A heading by style, by bold text alone, or a short line in capitals."""
+    name, style = T.strip(F.col("text")), F.lower(F.coalesce("style", F.lit("")))
+    capitals = (F.size(F.split(name, r"\s+")) <= 8) & (name == F.upper(name)) & (F.length(name) > 3)
+    return F.coalesce((F.col("kind") == "p") & (style.startswith("heading") | style.startswith("title") | F.coalesce(F.col("all_bold"), F.lit(False)) | capitals), F.lit(False))
+
+
+def _names(headings: tuple[str, ...]) -> Column:
+    """Whether a text holds one of the headings or stands in one; an empty text does."""
+    name = F.lower(T.strip(F.col("text")))
+    return reduce(lambda x, y: x | y, (F.contains(name, F.lit(h.lower())) | F.contains(F.lit(h.lower()), name) for h in headings))
+
+
+def _step_table(paragraphs: DataFrame, headings: tuple[str, ...], columns: tuple[str, ...], most: int) -> tuple[DataFrame, DataFrame]:
+    """(path, step_no, step) of the first table after a heading, unless another heading with text stands between; (path) of those with rows."""
+    b = blocks(paragraphs).withColumn("heading", _step_heading())
+    barrier = F.col("heading") & (T.strip(F.col("text")) != "")
+    after = ordered.next_with_barrier(b, ["path"], ["block_no"], F.col("heading") & _names(headings), F.col("kind") == "tbl", barrier, "block_no", "table_no").where("table_no is not null")
+    first = ordered.first_of(after, ["path"], ["block_no"]).select("path", F.col("table_no").alias("block_no"))
+    found = rows(cells(paragraphs)).join(first, ["path", "block_no"]).withColumn("cells", F.filter("cells", lambda c: c != "")).where(F.size("cells") > 0)
+    found = ordered.autonumber(found, ["path"], ["row_no"], 0).withColumnRenamed("number", "step_no")
+    wanted = F.array_position(F.transform("cells", lambda c: T.any_of(c, columns)), True).cast("int")
+    data = found.where("step_no > 0").join(found.where("step_no = 0").select("path", F.when(wanted > 0, wanted - 1).otherwise(1).alias("column_no")), "path")
+    step = data.select("path", "step_no", T.clean_step(F.get("cells", F.col("column_no"))).alias("step"))
+    return step.where(F.size(F.split("step", r"\s+")).between(3, most)), data.select("path").distinct()
+
+
+def all_steps(paragraphs: DataFrame) -> DataFrame:
+    """(path, step_no, step, source): the steps of the overview's table, then those of the details' that are new, each once; else numbered paragraphs.
+
+    source tells where a document's steps come from. Steps are numbered from 1 in their order.
+    """
+    overview, _ = _step_table(paragraphs, config.OVERVIEW_HEADINGS, config.OVERVIEW_COLUMNS, 50)
+    detail, detailed = _step_table(paragraphs, config.DETAIL_HEADINGS, config.DETAIL_COLUMNS, 80)
+    new = ordered.distinct_in_order(detail, ["path"], "step", "step_no").join(overview.select("path", "step").distinct(), ["path", "step"], "left_anti")
+    tables_steps = overview.withColumn("part", F.lit(0)).unionByName(new.withColumn("part", F.lit(1)))
+    heading, name = _step_heading(), T.strip(F.col("text"))
+    lines = blocks(paragraphs).where("kind = 'p'").withColumn("_on", F.last(F.when(heading, _names(config.OVERVIEW_HEADINGS + config.DETAIL_HEADINGS)), True).over(_upto()))
+    step = T.clean_step(F.regexp_replace(name, r"^[\d.]+\s+", ""))
+    numbered = lines.where(F.col("_on") & ~heading & name.rlike(r"^[\d.]+\s+\w")).select("path", F.col("block_no").cast("int").alias("step_no"), step.alias("step"), F.lit(2).alias("part"))
+    rest = numbered.where(F.size(F.split("step", r"\s+")).between(3, 60)).join(tables_steps.select("path").distinct(), "path", "left_anti")
+    whole = Window.partitionBy("path")
+    both = tables_steps.unionByName(rest).join(detailed.withColumn("_d", F.lit(True)), "path", "left").withColumn("_first", F.min("part").over(whole))
+    source = F.when(F.col("_first") == 2, config.SOURCES[3]).when(F.col("_first") == 1, config.SOURCES[1]).when(F.col("_d"), config.SOURCES[2]).otherwise(config.SOURCES[0])
+    return ordered.autonumber(both.withColumn("source", source), ["path"], ["part", "step_no"]).select("path", F.col("number").alias("step_no"), "step", "source")
+
+
 def step_matches(found: DataFrame, groups: DataFrame, threshold: float = config.TFIDF_THRESHOLD, top: int = config.TOP_STEPS) -> DataFrame:
     """(path, step, sim, pct, rank): each file's steps that best match a step of another file of its group (path, group)."""
     keyed = found.join(groups, "path").withColumn("step_id", F.xxhash64("path", "block_no", "row_no"))

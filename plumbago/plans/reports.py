@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbago import config
 from plumbago.functions import text as T
-from plumbago.plans import grouping
+from plumbago.plans import documents, grouping
 
 NO_MATCH, NOTHING, MISSING = "Documents with no matches", "—", "N/A"
 LINK_HEADER = ["Folder Name", "Word Document", "Word Section", "Table", "Row Label", "Row Label Column", "URL Column", "URL", "Filter by File", "Filter by Folder"]
@@ -165,6 +165,12 @@ def document_codes(paragraphs: DataFrame) -> DataFrame:
     return each.groupBy("path").agg(F.array_sort(F.collect_set("code")).alias("codes"))
 
 
+def grouping_report(paragraphs: DataFrame, asked: int = 0, stops: list[str] | None = None) -> DataFrame:
+    """From paragraphs to GROUP_HEADER rows: steps, groups of documents with like ones, their matched steps, and codes. asked: the number of groups, 0 for a third."""
+    rows = grouping.grouped(documents.all_steps(paragraphs), paragraphs.select("path").distinct(), stops, asked)
+    return groups(rows, document_codes(paragraphs))
+
+
 def counters(found: DataFrame) -> DataFrame:
     """One row of a link inventory's counts: links, in and outside tables, and files without."""
     return found.agg(
