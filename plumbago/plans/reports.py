@@ -166,8 +166,11 @@ def document_codes(paragraphs: DataFrame) -> DataFrame:
 
 
 def grouping_report(paragraphs: DataFrame, asked: int = 0, stops: list[str] | None = None) -> DataFrame:
-    """From paragraphs to GROUP_HEADER rows: steps, groups of documents with like ones, their matched steps, and codes. asked: the number of groups, 0 for a third."""
-    rows = grouping.grouped(documents.all_steps(paragraphs), paragraphs.select("path").distinct(), stops, asked)
+    """From paragraphs to GROUP_HEADER rows: steps, groups of documents with like ones, their matched steps, and codes. asked: the number of groups, 0 for a third.
+
+    The steps serve several joins, so they are kept once computed; a lost executor's share of them is computed anew.
+    """
+    rows = grouping.grouped(documents.all_steps(paragraphs).persist(), paragraphs.select("path").distinct(), stops, asked)
     return groups(rows, document_codes(paragraphs))
 
 

@@ -2,7 +2,7 @@
 
 import zipfile
 
-from plumbago.plans import binary_links, binary_objects, binary_risks, documents as D, grouping, reports as R
+from plumbago.plans import binary_links, binary_objects, binary_risks, documents as D, reports as R
 from plumbago.sinks import xlsx
 from tests.test_documents import cell, document, link, para, parsed, table
 
@@ -31,14 +31,10 @@ def test_steps_of_all_kinds(spark):
     ]
 
 
-def test_grouping_report(spark):
-    made = lambda *steps: document(para("Process Overview", "Heading1"), table(["No", "Process"], *([str(k), t] for k, t in enumerate(steps))))
-    post = [f"post the vendor invoice number {k} in the ledger with T-code: FB{k}0" for k in range(8)]
-    other = [f"review each salary budget of project {w} before noon" for w in ("one", "two", "three")]
-    got = {r[1]: r for r in cells(R.grouping_report(parsed(spark, a=made(*post[1:5]), b=made(*post[3:7]), c=document(para("short")), d=made(*other))))}
-    assert got["c"] == (grouping.REFERENCE, "c", grouping.NO_STEPS, R.NOTHING) and got["d"][0] == "Salary Review" and got["d"][3] == R.NOTHING
-    assert got["a"][0] and got["b"][0] is None and got["a"][3] == "FB10, FB20, FB30, FB40"
-    assert f"{post[3]}  [100% match]" in got["a"][2] and "match" not in got["d"][2]
+def test_group_rows(spark):
+    rows = spark.createDataFrame([("Reference Documents", "c", ["none"]), ("Vendor Posting", "b", []), ("Vendor Posting", "a", ["x", "y"])], "group_name string, path string, lines array<string>")
+    codes = spark.createDataFrame([("a", ["FB10", "FB20"])], "path string, codes array<string>")
+    assert cells(R.groups(rows, codes)) == [("Vendor Posting", "a", "x\ny", "FB10, FB20"), (None, "b", R.NOTHING, R.NOTHING), ("Reference Documents", "c", "none", R.NOTHING)]
 
 
 def test_links_before_the_first_heading_and_headers_of_the_table_before(spark):
