@@ -137,7 +137,8 @@ def _links(spark, sf_dir):
 
 def page_links(spark, sf_dir):
     """The links of pages as fields, and those in their text."""
-    fields = F.regexp_replace("html", 'href="([^"]*)"', '\x13 HYPERLINK "$1"\x14link\x15')
+    whole = F.replace("html", F.lit('href="/'), F.concat(F.lit('href="'), F.regexp_extract("url", r"^(https?://[^/]+)", 1), F.lit("/")))
+    fields = F.regexp_replace(whole, 'href="([^"]*)"', '\x13 HYPERLINK "$1"\x14link\x15')
     return _t(spark, sf_dir, "pages").select("page_id", F.explode(T.urls(fields)).alias("link"))
 
 
@@ -290,8 +291,8 @@ SELECT outcome, n FROM o UNION ALL SELECT 'Total', CAST(coalesce(sum(n), 0) AS B
     "prefer_ext": """WITH f AS (SELECT c_nationkey AS n, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment ELSE upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) END || (c_custkey // 10 % 9) AS stem,
 ['.doc', '.docx', '.DOC'][c_custkey % 4 + 1] AS ext FROM customer WHERE c_custkey % 7 <> 0 AND c_custkey % 4 <> 3)
 SELECT arg_max('in/' || n || '/' || stem || ext, {'a': ext = '.docx', 'b': 'in/' || n || '/' || stem || ext}) AS path FROM f GROUP BY n, lower(stem)""",
-    "page_links": r"""WITH f AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="(https?://[^"\s]+)', 1)) AS link FROM pages
-UNION ALL SELECT page_id, unnest(regexp_extract_all(html, '(?:^|[^"\w])(https?://[^\s"]{8,})', 1)) FROM pages)
+    "page_links": r"""WITH p AS (SELECT page_id, replace(html, 'href="/', 'href="' || regexp_extract(url, '^(https?://[^/]+)', 1) || '/') AS html FROM pages), f AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="(https?://[^"\s]+)', 1)) AS link FROM p
+UNION ALL SELECT page_id, unnest(regexp_extract_all(html, '(?:^|[^"\w])(https?://[^\s"]{8,})', 1)) FROM p)
 SELECT DISTINCT page_id, link FROM f WHERE NOT regexp_matches(link, '^(https?://schemas\.|http://www\.w3\.|http://purl\.|http://dublincore\.org/schemas)')""",
     "no_link_fill": f"WITH {_HREFS} SELECT page_id, coalesce(min(link), 'No Hyperlink found') AS link FROM pages LEFT JOIN links USING (page_id) GROUP BY page_id",
     "url_ext_type": f"""WITH e AS (SELECT page_id, {_EXT} AS ext, {list(PROGRAMS)}[page_id % {len(PROGRAMS)} + 1] AS program FROM pages)
