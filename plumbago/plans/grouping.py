@@ -49,19 +49,33 @@ def step_matches(steps: DataFrame, groups: DataFrame, stops: list[str], threshol
 
     Rows: steps (path, step_no, step), groups (path, group). Weights are fitted on each group's steps, with synonyms
     expanded. A document of which no step reaches the threshold has its first steps with pct 0.
+
+    Steps of the same terms are alike to all others, so each bag of terms is compared once in its group, however many steps
+    have it: the pairs grow with the square of a group's distinct bags. Of its matches a bag keeps the best two of distinct
+    owners; an owner is the only document with the other bag, null if there are several. One of the two, or both, stand in
+    another document than any given one. A bag goes by its SHA-256. The pairs are dealt out over all partitions, as their input
+    is small beside them, and sides with a row for each step are merged, as they may be large when unpacked.
     """
-    own = steps.join(groups, "path")
-    terms = own.select("group", "path", "step_no", F.explode(grams(T.expand_synonyms(F.col("step")), stops)).alias("term"))
-    counts = terms.groupBy("group", "path", "step_no", "term").agg(F.count(F.lit(1)).alias("tf"))
+    words = grams(T.expand_synonyms(F.col("step")), stops)
+    own = steps.join(groups, "path").withColumn("_t", words)
     n = own.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
-    idf = counts.groupBy("group", "term").agg(F.count(F.lit(1)).alias("df")).join(n, "group").select("group", "term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
+    keyed = own.groupBy("group", "path", "step_no").agg(F.array_sort(F.flatten(F.collect_list("_t"))).alias("_bag"), F.collect_list(F.struct("step")).alias("_steps"))
+    keyed = keyed.withColumn("_id", F.unhex(F.sha2(F.array_join("_bag", "\n"), 256)))
+    placed = keyed.groupBy("group", "_id", "_bag", "path").agg(F.count(F.lit(1)).alias("m"))
+    bags = placed.groupBy("group", "_id", "_bag").agg(F.sum("m").alias("m"), F.when(F.min("path") == F.max("path"), F.min("path")).alias("owner"))
+    counts = bags.select("group", "_id", "m", "owner", F.explode("_bag").alias("term")).groupBy("group", "_id", "m", "owner", "term").agg(F.count(F.lit(1)).alias("tf"))
+    idf = counts.groupBy("group", "term").agg(F.sum("m").alias("df")).join(n, "group").select("group", "term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
     weighed = counts.join(idf, ["group", "term"]).withColumn("w", F.col("tf") * F.col("idf"))
-    unit = F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("path", "step_no")))
-    a = weighed.select("group", "term", "path", "step_no", unit.alias("_a"))
-    b = a.select("group", "term", F.col("path").alias("other"), F.col("step_no").alias("other_no"), F.col("_a").alias("_b"))
-    sims = a.join(b, ["group", "term"]).where("path <> other").groupBy("path", "step_no", "other", "other_no").agg(F.sum(F.col("_a") * F.col("_b")).alias("sim"))
-    best = sims.groupBy("path", "step_no").agg(F.round(F.max("sim"), 9).alias("sim"))
-    scored = own.join(best, ["path", "step_no"], "left").withColumn("hit", F.coalesce(F.col("sim") >= threshold, F.lit(False)))
+    unit = F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("group", "_id")))
+    a = weighed.select("group", "term", "_id", "owner", unit.alias("_a"))
+    b = a.select("group", "term", F.col("_id").alias("_other"), "owner", F.col("_a").alias("_b"))
+    wide = int(steps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sims = a.drop("owner").repartition(wide, "group", "term").join(b.hint("merge"), ["group", "term"]).groupBy("group", "_id", "_other", "owner").agg(F.sum(F.col("_a") * F.col("_b")).alias("sim"))
+    owned = sims.groupBy("group", "_id", "owner").agg(F.max("sim").alias("sim"))
+    two = owned.withColumn("_k", F.row_number().over(Window.partitionBy("group", "_id").orderBy(F.col("sim").desc(), "owner"))).where("_k <= 2")
+    best = placed.join(two, ["group", "_id"]).where("owner is null or owner <> path").groupBy("group", "_id", "path").agg(F.round(F.max("sim"), 9).alias("sim"))
+    scored = keyed.join(best.hint("merge"), ["group", "_id", "path"], "left").select("path", "step_no", "sim", F.inline("_steps"))
+    scored = scored.withColumn("hit", F.coalesce(F.col("sim") >= threshold, F.lit(False)))
     any_hit = F.max("hit").over(Window.partitionBy("path"))
     scored = scored.withColumn("any", any_hit).where(F.col("hit") | ~F.col("any"))
     order = Window.partitionBy("path").orderBy(F.when(F.col("any"), F.col("sim")).desc_nulls_last(), "step_no")

@@ -120,3 +120,27 @@ def test_workbooks_are_verified():
     assert payload.verified(book(view="visibility='hidden'"), ".XLSX") == (False, payload.HIDDEN)
     assert payload.verified(book(sheet="<sheet/>"), ".xlsm") == (False, payload.NO_DATA)
     assert payload.verified(book(parts=()), ".xlsx") == (False, payload.NO_BOOK)
+
+
+def test_step_matches_compare_each_bag_of_terms_once(spark):
+    """Many copies of few steps: the pairs that are compared grow with distinct steps, and the matches are those of plain Python."""
+    texts = ["post the vendor invoice", "review the asset ledger", "post a supplier bill", "water all green plants", None, ""]
+    rows = [(f"p{(k // 7) % 5}", k, texts[k % 6]) for k in range(360)] + [("q", 0, "count the blue cars"), ("q", 1, "count the blue cars"), ("r", 0, "count the red cars"), ("r", 0, "review cars")]
+    steps, groups = spark.createDataFrame(rows, "path string, step_no int, step string"), spark.createDataFrame([(p, 1) for p in ("p0", "p1", "p2", "p3", "p4", "q", "r")], "path string, `group` int")
+    expand = lambda s: " ".join(config.SYNONYMS.get(w, w) for w in (s or "").lower().split())
+    bags = {}
+    for p, n, s in rows:
+        bags.setdefault((p, n), Counter()).update(terms(expand(s)))
+    df, n, units = Counter(x for c in bags.values() for x in c), len(rows), {}
+    for key, c in bags.items():
+        w = {x: f * (math.log((1 + n) / (1 + df[x])) + 1) for x, f in c.items()}
+        units[key] = {x: v / math.sqrt(sum(y * y for y in w.values())) for x, v in w.items()}
+    best = {k: max(round(dot(v, u), 9) for (q, _), u in units.items() if q != k[0]) for k, v in units.items()}
+    want = set()
+    for path in {p for p, _, _ in rows}:
+        own = sorted(((-best[p, no], no, s) for p, no, s in rows if p == path and best[p, no] >= config.TFIDF_THRESHOLD), key=lambda x: x[:2])[: config.TOP_STEPS]
+        want |= {(path, k + 1, int(-sim * 100)) for k, (sim, _, _) in enumerate(own)}
+    found = grouping.step_matches(steps, groups, STOPS)
+    assert {(r.path, r["rank"], r.pct) for r in found.collect()} == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "sha2(" in plan and "path#" not in "".join(line for line in plan.split("\n") if "Join Inner" in line and "term" in line)  # bags are joined, not steps
