@@ -105,3 +105,14 @@ def test_binary_documents_without_content(spark):
     assert binary_links.links(empty).count() == 0 and binary_risks.risk_rows(empty).count() == 0
     assert [tuple(r) for r in binary_objects.contexts(empty).collect()] == [("f", 1, "DOCUMENT", "", "", "")]
     assert binary_links.links(empty.limit(0)).count() == 0
+
+
+def test_object_contexts_are_told_from_one_row(spark):
+    """No text is joined, broadcast or dealt out, though there be headings before and after, repeated ones and several marks."""
+    text = "DETAILS AND MORE 9\r3GOALS OF ALL\rNo one\r\x14\x01\x15\rDETAILS AND MORE\rA\x07B\x07\x07\r1 step\r\x14\x01\x15 and \x14\x01\x15\r3GOALS OF ALL 7\rLATE ONES"
+    rows = spark.createDataFrame([("a", text), ("b", "CONCLUSIONS\r\x14\x01\x15"), ("c", None), ("d", "no mark\rat all"), (None, "\x14\x01\x15")], "path string, text string").repartition(3)
+    found = binary_objects.contexts(rows)
+    got = sorted((str(r.path), r.marker_no, r.section, r.row_label) for r in found.collect())
+    assert got == [("None", 1, "DOCUMENT", ""), ("a", 1, "DOCUMENT", "1 step"), ("a", 2, "DETAILS AND MORE", "1 step"), ("a", 3, "DETAILS AND MORE", "1 step"), ("b", 1, "CONCLUSIONS", "")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan
