@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbago.functions import text as T
 
@@ -14,52 +14,65 @@ def shown(text: Column) -> Column:
     return T.strip(F.regexp_replace(F.regexp_replace(text, "(?s)\x13.*?\x15", ""), r"[\p{C}\p{Z}&&[^ ]]", ""))
 
 
+def _holds_cell(paragraph: Column) -> Column:
+    return F.contains(paragraph, F.lit(CELL))
+
+
 def units(texts: DataFrame) -> DataFrame:
-    """(path, unit_no, at, is_row, text) of (path, text): paragraphs, and table rows put together from their paragraphs.
+    """texts with column units, an array of (at, is_row, text) of each row's text: paragraphs, and table rows put together from their paragraphs.
 
     A paragraph with a cell mark is part of a row, which ends where such a paragraph ends in the mark; else the next
     paragraph is the row's rest. An empty paragraph between rows is none. at: the place of the first paragraph, from 0.
-    Whether a row is open, and whether a place is inside a table, follows from the paragraphs before it by windows alone.
+    A letter for each unit tells which empty ones follow a row. All is told within the row of the text, in one pass.
     """
-    paragraphs = texts.where("text is not null").select("path", F.posexplode(F.split("text", PARAGRAPH)).alias("at", "para"))
-    order = Window.partitionBy("path").orderBy("at")
-    cell, blank = F.contains("para", F.lit(CELL)), T.strip(F.col("para")) == ""
-    opened = paragraphs.withColumn("_cell", cell).withColumn("_open", F.coalesce(F.lag(cell & ~F.endswith("para", F.lit(CELL))).over(order), F.lit(False)))
-    is_row = F.col("_cell") | F.col("_open")
-    inside = F.last(F.when(is_row, True).when(~blank, False), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    placed = opened.withColumn("is_row", is_row).withColumn("_inside", F.coalesce(inside, F.lit(False)))
-    fresh = (~F.col("_open")).cast("int")
-    numbered = placed.where(F.col("is_row") | ~F.col("_inside") | ~blank).withColumn("unit_no", F.sum(fresh).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    piece = F.when(F.col("_cell") | ~F.col("_open"), F.col("para")).otherwise(F.concat(F.lit(" "), "para"))
-    packed = numbered.groupBy("path", "unit_no").agg(F.min("at").alias("at"), F.max("is_row").alias("is_row"), F.array_sort(F.collect_list(F.struct("at", piece.alias("piece")))).alias("_p"))
-    return packed.select("path", "unit_no", "at", "is_row", F.array_join(F.transform("_p", lambda p: p["piece"]), "").alias("text"))
+    cut = texts.where("text is not null").withColumn("_p", F.split("text", PARAGRAPH))
+    goes_on = lambda p: _holds_cell(p) & ~F.endswith(p, F.lit(CELL))
+    begun = cut.withColumn("_n", F.filter(F.sequence(F.lit(0), F.size("_p") - 1), lambda i: (i == 0) | ~goes_on(F.get("_p", i - 1))))
+    parts = F.transform("_n", lambda i, k: F.struct(i.alias("at"), F.slice("_p", i + 1, F.coalesce(F.get("_n", k + 1), F.size("_p")) - i).alias("parts")))
+    text = lambda parts: F.array_join(F.transform(parts, lambda q, k: F.when((k == 0) | _holds_cell(q), q).otherwise(F.concat(F.lit(" "), q))), "")
+    made = begun.withColumn("_u", F.transform(parts, lambda u: F.struct(u["at"].alias("at"), _holds_cell(F.get(u["parts"], F.lit(0))).alias("is_row"), text(u["parts"]).alias("text"))))
+    letters = F.array_join(F.transform("_u", lambda u: F.when(u["is_row"], "R").when(T.strip(u["text"]) == "", "B").otherwise("P")), "")
+    marked = made.withColumn("_l", F.split(F.regexp_replace(letters, r"(?:(?<=R)|(?!^)\G)B", "D"), ""))
+    return marked.withColumn("units", F.filter("_u", lambda u, k: F.get("_l", k) != "D")).drop("_p", "_n", "_u", "_l")
 
 
 def links(texts: DataFrame) -> DataFrame:
     """(path, section, table_flag, row_label, row_label_col, url_col, url, at, cell_no), a row for each distinct link of a paragraph or cell.
 
     A table's first row names its columns if it has text and no link; a longer row then holds several records of as many
-    cells as there are names. A record's label is its first cell with text.
+    cells as there are names. A record's label is its first cell with text. A row of texts is a document: its units become
+    tables, runs of rows, and paragraphs with links, and these become rows where they are; nothing is dealt out or sorted.
     """
-    order = Window.partitionBy("path").orderBy("unit_no").rowsBetween(Window.unboundedPreceding, 0)
-    heading = ~F.col("is_row") & T.is_caps_heading(shown(F.col("text")))
-    found = units(texts).withColumn("section", F.coalesce(F.last(F.when(heading, shown(F.col("text"))), True).over(order), F.lit("")))
-    found = found.withColumn("table_no", F.sum((~F.col("is_row")).cast("int")).over(order))
-    outside = found.where(~F.col("is_row")).select("path", "section", F.lit("Outside Table").alias("table_flag"), F.explode(T.urls(F.col("text"))).alias("url"), "at")
+    http = lambda t: F.contains(t, F.lit("http"))
+    found = units(texts.where(http(F.col("text"))).select("path", "text"))
+    heads = F.filter(F.transform("units", lambda u, k: F.struct(k.alias("k"), F.when(~u["is_row"], shown(u["text"])).alias("name"))), lambda h: F.coalesce(T.is_caps_heading(h["name"]), F.lit(False)))
+    is_row = lambda k: F.coalesce(F.get("units", k)["is_row"], F.lit(False))
+    every = F.sequence(F.lit(0), F.size("units") - 1)
+    begin = F.filter(every, lambda k: is_row(k) & ~is_row(k - 1))
+    end = F.filter(every, lambda k: is_row(k) & ~is_row(k + 1))
+    alone = F.filter(every, lambda k: ~is_row(k) & http(F.get("units", k)["text"]))
+    runs = F.concat(F.arrays_zip(begin.alias("lo"), end.alias("hi")), F.transform(alone, lambda k: F.struct(k.alias("lo"), k.alias("hi"))))
+    parts = found.withColumn("heads", heads).select("path", "heads", "units", F.explode(runs).alias("run"))
+    section = F.coalesce(F.try_element_at(F.filter("heads", lambda h: h["k"] <= F.col("run.lo")), F.lit(-1))["name"], F.lit(""))
+    own = F.slice("units", F.col("run.lo") + 1, F.col("run.hi") - F.col("run.lo") + 1)
+    parts = parts.select("path", section.alias("section"), F.get("units", F.col("run.lo"))["is_row"].alias("is_row"), own.alias("own"))
 
     filled = lambda cells: F.filter(cells, lambda c: c != "")
-    rows = found.where("is_row").select("path", "section", "table_no", "at", F.posexplode(filled(F.split("text", CELL + CELL))).alias("piece_no", "piece"))
-    rows = rows.withColumn("cells", F.split("piece", CELL)).withColumn("labels", F.transform("cells", shown))
-    within = Window.partitionBy("path", "table_no").orderBy("at", "piece_no")
-    names = F.when((F.size(T.urls(F.col("piece"))) == 0) & (F.size(filled("labels")) > 0), F.col("labels"))
-    rows = rows.withColumn("names", F.first(names).over(within)).withColumn("_n", F.row_number().over(within))
+    pieces = lambda u: F.when(u["is_row"], filled(F.split(u["text"], CELL + CELL))).otherwise(F.array(u["text"]))
+    tables = parts.withColumn("pieces", F.flatten(F.transform("own", lambda u: F.transform(pieces(u), lambda p: F.struct(u["at"].alias("at"), p.alias("piece"))))))
+    top = F.get("pieces", F.lit(0))["piece"]
+    tables = tables.withColumn("top", F.when(F.col("is_row") & (F.size(T.urls(top)) == 0), F.transform(F.split(top, CELL), shown)))
+    tables = tables.withColumn("names", F.when(F.size(filled("top")) > 0, F.col("top")))
+    data = F.slice("pieces", F.when(F.col("names").isNull(), 1).otherwise(2), F.size("pieces"))
+    rows = tables.select("path", "section", "is_row", "names", F.explode(F.filter(data, lambda p: http(p["piece"]))).alias("p")).select("*", "p.at", "p.piece")
+    rows = rows.withColumn("cells", F.when(F.col("is_row"), F.split("piece", CELL)).otherwise(F.array("piece"))).withColumn("labels", F.transform("cells", shown))
     n_names = F.size(filled("names"))
     stride = F.when(n_names >= 2, n_names).otherwise(F.size("cells"))
-    cells = rows.where("_n > 1 or names is null").withColumn("stride", stride).select("*", F.posexplode("cells").alias("cell_no", "cell"))
+    cells = rows.withColumn("stride", stride).select("*", F.posexplode("cells").alias("cell_no", "cell")).where(http(F.col("cell")))
     record = F.slice("labels", (F.floor(F.col("cell_no") / F.col("stride")) * F.col("stride") + 1).cast("int"), F.col("stride"))
     first = lambda c: F.get(c, F.lit(0))
-    inside = cells.select(
-        "path", "section", F.lit("Within Table").alias("table_flag"), F.coalesce(first(filled(record)), first(filled("labels"))).alias("row_label"), first(F.col("names")).alias("row_label_col"),
-        F.get("names", F.col("cell_no")).alias("url_col"), F.explode(T.urls(F.col("cell"))).alias("url"), "at", "cell_no",
+    inside = lambda c: F.coalesce(F.when(F.col("is_row"), c), F.lit(""))
+    return cells.select(
+        "path", "section", F.when(F.col("is_row"), "Within Table").otherwise("Outside Table").alias("table_flag"), inside(F.coalesce(first(filled(record)), first(filled("labels")))).alias("row_label"),
+        inside(first(F.col("names"))).alias("row_label_col"), inside(F.get("names", F.col("cell_no"))).alias("url_col"), F.explode(T.urls(F.col("cell"))).alias("url"), "at", F.when(F.col("is_row"), F.col("cell_no")).alias("cell_no"),
     )
-    return inside.unionByName(outside, allowMissingColumns=True).fillna("", ["row_label", "row_label_col", "url_col"])

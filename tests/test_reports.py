@@ -116,3 +116,16 @@ def test_object_contexts_are_told_from_one_row(spark):
     assert got == [("None", 1, "DOCUMENT", ""), ("a", 1, "DOCUMENT", "1 step"), ("a", 2, "DETAILS AND MORE", "1 step"), ("a", 3, "DETAILS AND MORE", "1 step"), ("b", 1, "CONCLUSIONS", "")]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "Window" not in plan
+
+
+def test_links_are_told_from_one_row(spark):
+    text = "GOALS AND MORE\rName\x07Link\x07\x07\r\r\rA\x07https://a.example/page\x07\x07\r \rno row\rB\x07open\rhttps://b.example/page and\rNOTHING ELSE HERE\r\rC\x07https://c.example/page"
+    found = binary_links.links(spark.createDataFrame([("a", text), ("b", None), ("c", "https://d.example/page")], "path string, text string").repartition(2))
+    got = sorted((r.path, r["at"], r.section, r.table_flag, r.row_label, r.url_col, r.url, r.cell_no) for r in found.collect())
+    goals = "GOALS AND MORE"
+    assert got == [
+        ("a", 4, goals, "Within Table", "A", "Link", "https://a.example/page", 1), ("a", 7, goals, "Within Table", "B", "", "https://b.example/page", 1),
+        ("a", 11, "NOTHING ELSE HERE", "Within Table", "C", "", "https://c.example/page", 1), ("c", 0, "", "Outside Table", "", "", "https://d.example/page", None),
+    ]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(step in plan for step in ("Window", "Aggregate", "Sort", "Join", "Union"))
