@@ -78,8 +78,9 @@ def once(df: DataFrame, keys: list[str], order: list, columns: list[str]) -> Dat
 
 def links(found: DataFrame, order: list[str]) -> DataFrame:
     """LINK_HEADER rows of a link inventory: folder and file on each file's first row, and on all rows in the columns to filter by."""
-    named = found.withColumn("folder", folder_name()).withColumn("file", file_name()).withColumn("by_file", F.col("file")).withColumn("by_folder", F.col("folder"))
-    shown = once(named, ["path"], [*order, "url"], ["folder", "file"])
+    numbered = once(found, ["path"], [*order, "url"], [])
+    named = numbered.withColumn("by_file", file_name()).withColumn("by_folder", folder_name())
+    shown = named.withColumns({c: F.when(F.col("is_first"), F.col(f"by_{c}")) for c in ("folder", "file")})
     return shown.select(F.struct("path", "nth").alias("place"), _texts("folder", "file", "section", "table_flag", "row_label", "row_label_col", "url_col", "url", "by_file", "by_folder").alias("cells"))
 
 

@@ -2,6 +2,8 @@
 
 import zipfile
 
+from pyspark.sql import functions as F
+
 from plumbago.plans import binary_links, binary_objects, binary_risks, documents as D, reports as R
 from plumbago.sinks import xlsx
 from tests.test_documents import cell, document, link, para, parsed, table
@@ -129,3 +131,12 @@ def test_links_are_told_from_one_row(spark):
     ]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert not any(step in plan for step in ("Window", "Aggregate", "Sort", "Join", "Union"))
+
+
+def test_report_of_links_deals_out_no_names(spark):
+    """Names of file and folder are told from the path after the rows are numbered, so they are not shuffled beside it."""
+    rows = spark.createDataFrame([("in/a.doc", 2, "u2"), ("in/a.doc", 1, "u1"), ("in/b.doc", 1, "u3")], "path string, at int, url string").repartition(2)
+    found = R.links(rows.select("*", *(F.lit(c).alias(c) for c in ("section", "table_flag", "row_label", "row_label_col", "url_col"))), ["at"])
+    assert [tuple(r.cells[k] for k in (0, 1, 7, 8, 9)) for r in found.orderBy("place").collect()] == [("in", "a.doc", "u1", "a.doc", "in"), (None, None, "u2", "a.doc", "in"), ("in", "b.doc", "u3", "b.doc", "in")]
+    below = found._jdf.queryExecution().optimizedPlan().toString().split("Window", 1)[1]
+    assert "split(" not in below
