@@ -233,6 +233,7 @@ def binary_header(spark, sf_dir):
         F.concat(F.lit("SOP No: "), k), F.lit("no pair"), F.concat(F.lit("Organ\x01isation\r: "), F.col("c_mktsegment")), F.when(k % 2 == 0, "sop no: again").otherwise("Bad@label: x"), F.lit(""), F.lit("..."), F.lit(""),
         F.concat(F.lit("Status: "), F.col("o_orderstatus")), F.when(k % 3 == 0, F.concat(F.lit("Price: "), F.repeat(F.lit("9"), 200))).otherwise("HYPERLINK: y"), F.lit("-"), F.lit("-"), F.lit("-"), F.lit("Late: one"), F.when(k % 5 == 0, "Title: two").otherwise("OJQJ: z"),
     )
+    rows = rows.select("o_orderkey", "o_orderstatus", "c_mktsegment").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "o_orderkey")  # before the texts are made, which are larger
     return binary.header_fields(rows.select(k.alias("path"), F.concat_ws(binary.CELL, *cells).alias("text")))
 
 

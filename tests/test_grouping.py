@@ -144,3 +144,13 @@ def test_step_matches_compare_each_bag_of_terms_once(spark):
     assert {(r.path, r["rank"], r.pct) for r in found.collect()} == want
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "sha2(" in plan and "path#" not in "".join(line for line in plan.split("\n") if "Join Inner" in line and "term" in line)  # bags are joined, not steps
+
+
+def test_binary_header_sorts_a_row_for_each_text(spark):
+    """Two texts of one path are one document, groups part at a gap, and the plan has one window and one shuffle."""
+    cells = lambda *given: "\x07".join(given)
+    rows = [("a", cells("Note: x", "y", "", "", "", "SOP No:: 1", "Title: a\x01b")), ("a", cells("", "", "", "", "", "", "", "title : c", "SOP NO: 2")), ("b", cells("q", "Late: 1", "", "", "", "", "Other: 2")), ("c", "x")]
+    found = binary.header_fields(spark.createDataFrame(rows, "path string, text string").repartition(3))
+    assert sorted(tuple(r) for r in found.collect()) == [("a", 5, "SOP No", ": 1"), ("a", 6, "Title", "ab"), ("b", 1, "Late", "1"), ("b", 6, "Other", "2")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1 and "Aggregate" not in plan
