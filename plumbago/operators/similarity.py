@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from plumbago import config
 
@@ -102,20 +103,27 @@ def cluster_pairs(keys: DataFrame, pairs: DataFrame, key: str, other: str, asked
 
 
 def name_groups(steps: DataFrame, group: str, text: str, order: str | Column) -> DataFrame:
-    """(group, group_name): frequent noun and verb of its steps, or its two most frequent words; ties by first occurrence; `Group n` (n is the
+    """(group, group_name): frequent noun and verb of its steps, or its two most frequent words; ties by first occurrence, then by word; `Group n` (n is the
     number group, from 0, plus 1) where there are no words, as far as group is a number.
 
-    Each group's words are counted and ranked by a window on the counts; no group is collected.
+    Words are counted in a hash table of fixed-width values where order is an integer; other orders sort the words of a task.
+    Of the counts, each task keeps two of a group and kind before they are dealt out; no group is collected.
     """
     place = order if isinstance(order, Column) else F.col(order)
     base = steps.select(group, place.alias("_place"), F.col(text).alias("_text"))
     words = base.select(group, "_place", F.posexplode(F.regexp_extract_all(F.lower("_text"), F.lit(r"\b([a-z]{4,})\b"), 1)).alias("pos", "word")).where(~F.col("word").isin(*config.SKIP))
-    counts = words.groupBy(group, "word").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_place", "pos")).alias("first"))
-    rank = lambda *by: F.row_number().over(Window.partitionBy(group, *by).orderBy(F.col("n").desc(), "first"))
-    counts = counts.withColumn("verb", F.col("word").isin(*config.VERBS)).withColumn("noun", F.col("word").isin(*config.NOUNS))
-    counts = counts.withColumn("nth", rank()).withColumn("nth_verb", rank("verb")).withColumn("nth_noun", rank("noun"))
+    kind = base.schema["_place"].dataType
+    if isinstance(kind, (ByteType, ShortType, IntegerType, LongType)):  # place and position in one number; null places come first
+        first = F.min(F.col("_place").cast("decimal(20,0)") * F.lit(2**31).cast("decimal(10,0)") + F.col("pos").cast("decimal(10,0)"))
+        counts = words.groupBy(group, "word").agg(F.count(F.lit(1)).alias("n"), first.alias("first"), F.min(F.when(F.col("_place").isNull(), F.col("pos"))).alias("bare"))
+        counts = counts.withColumn("first", F.struct(F.col("bare").isNull(), "bare", "first")).drop("bare")
+    else:
+        counts = words.groupBy(group, "word").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_place", "pos")).alias("first"))
+    kinds = F.filter(F.array(F.lit("any"), F.when(F.col("word").isin(*config.VERBS), "verb"), F.when(F.col("word").isin(*config.NOUNS), "noun")), lambda k: k.isNotNull())
+    ranked = counts.select(group, "word", "n", "first", F.explode(kinds).alias("kind")).withColumn("nth", F.row_number().over(Window.partitionBy(group, "kind").orderBy(F.col("n").desc(), "first", "word")))
     one = lambda test, name: F.max(F.when(test, F.initcap("word"))).alias(name)
-    tops = counts.groupBy(group).agg(one(F.col("verb") & (F.col("nth_verb") == 1), "v"), one(F.col("noun") & (F.col("nth_noun") == 1), "n"), one(F.col("nth") == 1, "a"), one(F.col("nth") == 2, "b"))
+    is_nth = lambda kind, nth: (F.col("kind") == kind) & (F.col("nth") == nth)
+    tops = ranked.where("nth <= 2").groupBy(group).agg(one(is_nth("verb", 1), "v"), one(is_nth("noun", 1), "n"), one(is_nth("any", 1), "a"), one(is_nth("any", 2), "b"))
     verb, noun = F.col("v"), F.col("n")
     name = F.when(verb.isNotNull() & noun.isNotNull(), F.concat_ws(" ", noun, verb)).when(verb.isNotNull(), F.concat_ws(" ", verb, F.lit("Process"))).when(noun.isNotNull(), F.concat_ws(" ", noun, F.lit("Processing"))).when(F.col("a").isNotNull(), F.concat_ws(" ", "a", "b"))
     number = F.concat(F.lit("Group "), (F.expr(f"try_cast(cast(`{group}` as string) as bigint)") + 1).cast("string"))

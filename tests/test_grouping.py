@@ -8,6 +8,8 @@ import re
 import zipfile
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from plumbago import config
 from plumbago.functions import payload
 from plumbago.operators import similarity
@@ -154,3 +156,13 @@ def test_binary_header_sorts_a_row_for_each_text(spark):
     assert sorted(tuple(r) for r in found.collect()) == [("a", 5, "SOP No", ": 1"), ("a", 6, "Title", "ab"), ("b", 1, "Late", "1"), ("b", 6, "Other", "2")]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Window [") == 1 and "Aggregate" not in plan
+
+
+def test_names_are_the_same_for_numbers_and_other_orders(spark):
+    """Words are counted without a sort where the order is an integer, negative, large or null; ties go to the first place and position, then by word."""
+    rows = [(0, -5, "zeta posting alpha"), (0, 2**62, "alpha zeta vendor"), (1, None, "late words"), (1, -9, "early words here"), (2, 3, "gamma delta"), (2, 3, "beta"), (3, 7, "payment invoice depreciation"), (4, 1, "a b")]
+    numbered = spark.createDataFrame(rows, "g int, n long, t string").repartition(3)
+    names = lambda order: {r.g: r.group_name for r in similarity.name_groups(numbered, "g", "t", order).collect()}
+    assert names("n") == names(F.struct("n")) == {0: "Vendor Posting", 1: "Words Late", 2: "Beta Gamma", 3: "Payment Payment", 4: "Group 5"}
+    plan = similarity.name_groups(numbered, "g", "t", "n")._jdf.queryExecution().executedPlan().toString()
+    assert "min(struct(_place" not in plan and "WindowGroupLimit" in plan
